@@ -52,3 +52,24 @@ def fitting(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows numbered by one task, about.
+CHUNK_ROWS = 50_000
+
+
+def numbered(df: DataFrame, keys: list[str], spread: list[str], order: list[str], rows: int, name: str) -> DataFrame:
+    """Adds ``name``: 0, 1, 2, ... without gaps inside each value of ``keys``.
+
+    A key's rows are dealt to hashed chunks, numbered inside each chunk and
+    moved up by the sizes of the chunks before, so a key that holds most rows
+    is numbered by many tasks.  ``df`` is evaluated twice: give a cut table.
+    """
+    from pyspark.sql import Window
+
+    chunk = F.pmod(F.xxhash64(*spread), F.lit(max(1, rows // CHUNK_ROWS))).alias("_chunk")
+    dealt = df.select("*", chunk)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n")).select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    return dealt.join(offsets, [*keys, "_chunk"]).select(*df.columns, (F.row_number().over(within) - 1 + F.col("_before")).cast("long").alias(name))

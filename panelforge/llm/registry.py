@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("exact_dedup",)
+_MODULES = ("decontam", "exact_dedup", "sharding")
 
 
 def queries() -> dict:
