@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("decontam", "exact_dedup", "sharding")
+_MODULES = ("decontam", "exact_dedup", "sharding", "url_filter")
 
 
 def queries() -> dict:
