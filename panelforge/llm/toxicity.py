@@ -1,12 +1,13 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 P(grade > k) = sigmoid(w . x - t_k): one weight vector shared by all ordered
-thresholds t_0 < t_1 < ...; x are presence flags of words.  The output is the
+thresholds t_0 < t_1 < ...; x are presence flags of words, and weights are not
+negative, so harmless text cannot outweigh an insult.  The output is the
 expected severity, the sum of P(grade > k) over k, and a decision against a
 threshold chosen on out-of-fold scores of the labelled rows.
 
 The fit uses at most ``MAX_TRAIN`` labelled rows (those whose id hashes lowest) and
-the ``MAX_FEATURES`` words most associated with the grades; word counts for that
+the ``MAX_FEATURES`` words most associated with the higher grades; word counts for that
 choice are made on the workers, so the driver sees at most MAX_TRAIN rows of
 MAX_FEATURES flags.  Scoring covers every row and whole texts in one pass
 without a shuffle.
@@ -28,8 +29,11 @@ from pyspark.sql import functions as F
 from . import _words as wd
 from ._spark import cut, small_batches, table
 
-MAX_TRAIN, MAX_FEATURES, MIN_ROWS = 20_000, 4096, 2
-PENALTY, STEPS = 0.02, 250
+MAX_TRAIN, MAX_FEATURES, MIN_ROWS = 20_000, 2048, 2
+#: L1 penalty in rows: a word needs about so many rows that other words do not explain.
+PENALTY, STEPS = 2.0, 300
+#: L1 penalty of the second fit, over the words that the first one kept.
+REFIT_PENALTY = 0.05
 
 
 def _row_words(col: pa.Array):
@@ -86,34 +90,42 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - z[:, None], -40, 40)))
 
     def fit(self, rows: np.ndarray, feats: np.ndarray, grade: np.ndarray) -> Model:
-        """Penalised maximum likelihood by Adam; thresholds as a first one plus positive steps."""
-        n, v, k = len(grade), len(self.vocabulary), self.grades - 1
+        """Selects words with PENALTY, then fits those alone with REFIT_PENALTY."""
+        n, k = len(grade), self.grades - 1
         share = np.array([(grade > j).mean() for j in range(k)]).clip(1e-4, 1 - 1e-4)
         first = np.log((1 - share) / share)
-        step = np.log(np.maximum(np.diff(first), 0.05))
-        p = np.concatenate([np.zeros(v), first[:1], step])
-        m, s = np.zeros_like(p), np.zeros_like(p)
-        pick = np.arange(n)
-        for t in range(1, STEPS + 1):
-            w, thr = p[:v], np.cumsum(np.concatenate([p[v : v + 1], np.exp(p[v + 1 :])]))
-            z = np.bincount(rows, weights=w[feats], minlength=n)[:n]
+        start = np.concatenate([np.zeros(len(self.vocabulary)), first[:1], np.log(np.maximum(np.diff(first), 0.05))])
+        start = self._descend(start, rows, feats, grade, PENALTY / n, STEPS)
+        kept = np.flatnonzero(start[: len(self.vocabulary)] > 0.05)
+        index = np.full(len(self.vocabulary), -1)
+        index[kept] = np.arange(len(kept))
+        own = index[feats] >= 0
+        p = self._descend(np.concatenate([start[kept], start[len(self.vocabulary) :]]), rows[own], index[feats[own]], grade, REFIT_PENALTY / n, 3 * STEPS)
+        self.weights[:] = 0
+        self.weights[kept] = p[: len(kept)]
+        self.thresholds = np.cumsum(np.concatenate([p[len(kept) :][:1], np.exp(p[len(kept) + 1 :])]))
+        return self
+
+    def _descend(self, p: np.ndarray, rows: np.ndarray, feats: np.ndarray, grade: np.ndarray, penalty: float, steps: int) -> np.ndarray:
+        """Penalised maximum likelihood by Adam, weights kept at or above 0; thresholds are a first one and positive steps."""
+        n, k = len(grade), self.grades - 1
+        v = len(p) - k
+        m, s, pick = np.zeros_like(p), np.zeros_like(p), np.arange(n)
+        for t in range(1, steps + 1):
+            thr = np.cumsum(np.concatenate([p[v : v + 1], np.exp(p[v + 1 :])]))
+            z = np.bincount(rows, weights=p[:v][feats], minlength=n)[:n]
             f = 1 / (1 + np.exp(np.clip(thr[None, :] - z[:, None], -40, 40)))
             full = np.concatenate([np.ones((n, 1)), f, np.zeros((n, 1))], axis=1)  # P(grade >= 0), P(> 0), ...
             slope = full * (1 - full)
             prob = np.maximum(full[pick, grade] - full[pick, grade + 1], 1e-12)
             dz = -(slope[pick, grade] - slope[pick, grade + 1]) / prob / n
-            dthr = np.zeros(k)
-            for j in range(k):
-                dthr[j] = (np.where(grade == j + 1, slope[:, j + 1], 0) - np.where(grade == j, slope[:, j + 1], 0)).dot(1 / prob) / n
-            g = np.zeros_like(p)
-            g[:v] = np.bincount(feats, weights=dz[rows], minlength=v) + PENALTY * w / n
+            dthr = np.array([(np.where(grade == j + 1, slope[:, j + 1], 0) - np.where(grade == j, slope[:, j + 1], 0)).dot(1 / prob) / n for j in range(k)])
             back = np.cumsum(dthr[::-1])[::-1]
-            g[v] = back[0]
-            g[v + 1 :] = back[1:] * np.exp(p[v + 1 :])
-            m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
-            p = p - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-9)
-        self.weights, self.thresholds = p[:v], np.cumsum(np.concatenate([p[v : v + 1], np.exp(p[v + 1 :])]))
-        return self
+            g = np.concatenate([np.bincount(feats, weights=dz[rows], minlength=v) + penalty, back[:1], back[1:] * np.exp(p[v + 1 :])])
+            m, s = 0.9 * m + 0.1 * g, 0.98 * s + 0.02 * g * g
+            p = p - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.98**t)) + 1e-8)
+            p[:v] = np.maximum(p[:v], 0)
+        return p
 
 
 def _cutoff(severity: np.ndarray, bad: np.ndarray) -> float:
@@ -148,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
     gain = part(F.col("low").cast("double"), n, F.lit(1 - p)) + part(F.col("high").cast("double"), n, F.lit(p))
     high = F.when(F.col("grade") > min(sizes), 1).otherwise(0)
     words = rows.select("text", high.alias("high")).mapInArrow(_presence, "word long, low long, high long").groupBy("word").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
-    best = words.where(n >= MIN_ROWS).select("word", gain.alias("gain")).orderBy(F.desc("gain"), "word").limit(MAX_FEATURES).collect()
+    best = words.where((n >= MIN_ROWS) & (F.col("high") > n * p)).select("word", gain.alias("gain")).orderBy(F.desc("gain"), "word").limit(MAX_FEATURES).collect()
     model = Model(np.sort(np.array([r["word"] for r in best], dtype=np.int64).view(np.uint64)), len(sizes))
 
     def flagged(batches):
@@ -171,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
         half = Model(model.vocabulary, model.grades).fit(index[at[own]], feats[own], y[~out])
         severity[out] = half.above(at, feats, len(got)).sum(1)[out]
     model.fit(at, feats, y)
-    model.reject_at = _cutoff(severity, y > 0)
+    model.reject_at = min(max(_cutoff(severity, y > 0), 0.25), 0.75)
     return model
 
 
@@ -191,8 +203,8 @@ def score(docs: DataFrame, model: Model, keep: list[Column], text_col: str = "te
 
 
 def severity_grade() -> Column:
-    """Grade of a row of ``labels``: 0 not toxic, 1 toxic, 2 toxic and of low quality."""
-    return F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1))
+    """Grade of a row of ``labels``, which has two: 0 not toxic, 1 toxic.  The model takes any number of grades."""
+    return F.when(F.col("toxic").isin(0, 1), F.col("toxic"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
