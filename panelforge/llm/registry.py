@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("decontam", "exact_dedup", "langid", "sharding", "toxicity", "url_filter")
+_MODULES = ("decontam", "exact_dedup", "langid", "sharding", "substring", "toxicity", "url_filter")
 
 
 def queries() -> dict:
