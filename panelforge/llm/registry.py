@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("decontam", "exact_dedup", "html_main", "jaccard", "langid", "sharding", "substring", "toxicity", "url_filter")
+_MODULES = ("decontam", "exact_dedup", "html_main", "jaccard", "langid", "mixing", "sharding", "substring", "toxicity", "url_filter")
 
 
 def queries() -> dict:
