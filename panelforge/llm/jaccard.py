@@ -312,7 +312,7 @@ def _verify(num: int, den: int):
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(rows, links): id, n_shingles, set_id, component_id of every row; and verified links between set_ids that span all components."""
+    """(rows, links): id, n_shingles, set_id, component_id, root (the component as a set_id) and text_key of every row; and verified links between set_ids that span all components."""
     spark = docs.sparkSession
     small_batches(spark)
     text = F.col(text_col)
@@ -360,12 +360,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     named = kinds.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.join(lowest, "root").select("sid", "component_id")
-    out = marked.select("id", "n", F.when(F.col("n") > 0, F.col("sid")).alias("sid")).join(named, "sid", "left")
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    named = named.join(lowest, "root").select("sid", "root", "component_id")
+    out = marked.select("id", "tk", "n", F.when(F.col("n") > 0, F.col("sid")).alias("sid")).join(named, "sid", "left")
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.when(F.col("n") > 0, F.col("root")).alias("root"), F.col("tk").alias("text_key"))
     return out, links
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without near duplicates: one row of each component stays.
+
+    It is the one with the smallest id (null counts as largest), then the smallest text key, and one
+    only if that row is repeated.  Rows without shingles all stay.
+    """
+    rows, _ = jaccard_components(docs, id_col, text_col, n, num, den)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"))
+    keyed = rows.where("n_shingles > 0").select(key.alias("_key"), F.col("text_key").alias("_tk"), "root")
+    kinds = cut(keyed.groupBy("root", "_key", "_tk").agg(F.count(F.lit(1)).alias("times")), "kinds")
+    first = kinds.groupBy("root").agg(F.min(F.struct("_key", "_tk")).alias("first"))
+    judged = kinds.join(first, "root").select("_key", "_tk", "times", (F.struct("_key", "_tk") == F.col("first")).alias("stays"))
+    out = cut(judged.where("NOT stays OR times > 1").select("_key", "_tk", "stays"), "dropped")
+    n_out = out.count()
+    all_rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("_key"), F.xxhash64(text_col).alias("_tk"))
+    kept = all_rows.join(fitting(out, n_out, 48), ["_key", "_tk"], "left_anti").select("row")
+    repeated = all_rows.join(fitting(out.where("stays"), n_out, 48), ["_key", "_tk"], "left_semi").dropDuplicates(["_key", "_tk"]).select("row")
+    return kept.union(repeated).select("row.*")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = jaccard_components(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_shingles", "component_id")
