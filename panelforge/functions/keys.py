@@ -26,7 +26,7 @@ def normalize_code(c, panel: bool = False) -> Column:
 
 def bucket_id(c, span: int = 5) -> Column:
     """Bucket of an entity: its last two digits / span."""
-    digits = F.regexp_extract(_c(c).cast("string"), r"(\d{2})(?!.*\d{2})", 1)
+    digits = F.regexp_extract(_c(c).cast("string"), r"(\d{2})\D*$", 1)
     return F.floor(digits.try_cast("int") / span).cast("int")
 
 
