@@ -19,7 +19,8 @@ few such segments indexes all it has.
 3. In each list every set is verified against one hub and its neighbour by size.
 4. Components of the verified links are found; only lists that still hold several
    components give further pairs, between components.  A pair inside one
-   component can't change the result.
+   component can't change the result.  A parity sketch of each set bounds the
+   difference of two from below and drops most of the rest unseen by the shuffle.
 Verification intersects the shingle sets recomputed from the texts.
 
 Shingles are compared by 64-bit hashes, in verification by 48 bits of them: for two sets of 1,000
@@ -240,8 +241,24 @@ def _first_pairs(num: int, den: int):
     return run
 
 
+def odd_sketch(s: np.ndarray) -> bytes:
+    """Parities of the set's shingles over about one bit a shingle.
+
+    Two sketches differ in at most as many bits as their sets differ in shingles.
+    """
+    bits = 1 << max(6, (len(s) - 1).bit_length())
+    at = (wd.mix64(s ^ U64(0x3C6EF372FE94F82B)) & U64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """The sketches at the length of the shortest, as rows of 64-bit words."""
+    least = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, least), axis=0) for x in sketches]).view(U64)
+
+
 def _cross_pairs(num: int, den: int):
-    """Pairs of a list's sets that lie in different components."""
+    """Pairs of a list's sets that lie in different components and that sizes and sketches leave possible."""
 
     def run(batches):
         for batch in batches:
@@ -249,12 +266,16 @@ def _cross_pairs(num: int, den: int):
                 v = members.values
                 root, sid, n = (np.asarray(v.field(k)) for k in range(3))
                 order = np.argsort(n, kind="stable")
+                sketch = _folded(v.field(3).to_pylist())[order]
                 root, sid, n = root[order], sid[order], n[order].astype(np.int64)
                 a, b, held = [], [], 0
                 stop = np.searchsorted(n, n * den // num, side="right")
                 for i in range(len(sid)):
                     other = np.arange(i + 1, stop[i])
                     other = other[root[other] != root[i]]
+                    both = n[other] + n[i]
+                    most = both - 2 * -(-num * both // (num + den))
+                    other = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64) <= most]
                     if len(other):
                         a.append(np.full(len(other), sid[i]))
                         b.append(sid[other])
@@ -269,19 +290,20 @@ def _cross_pairs(num: int, den: int):
 
 
 def _sets(n: int, salt: int):
-    """48-bit shingles of the sets asked for, once a task."""
+    """48-bit shingles and sketches of the sets asked for, once a task."""
 
     def run(batches):
         done = set()
         for b in batches:
             want = b.column(1).to_pylist()
-            ids, blobs = [], []
+            ids, blobs, sketches = [], [], []
             for i, s in shingle_sets(b.column(0), n):
                 if want[i] not in done and _digest(s, salt)[0] == want[i]:
                     done.add(want[i])
                     ids.append(want[i])
                     blobs.append(np.unique(s & _MASK48).view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["sid", "shingles"])
+                    sketches.append(odd_sketch(s))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary()), pa.array(sketches, pa.binary())], names=["sid", "shingles", "sketch"])
 
     return run
 
@@ -335,8 +357,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = lists.select(F.explode("sids").alias("sid")).distinct().join(kinds.select("sid", "tk"), "sid")
     wanted = cut(wanted, "wanted")
     n_wanted = wanted.count()
-    sets = rows.join(fitting(wanted.select("tk", "sid"), n_wanted, 24), "tk").select("text", "sid").mapInArrow(_sets(n, salt), "sid long, shingles binary")
-    sets = cut(sets.groupBy("sid").agg(F.first("shingles").alias("shingles")), "shingles")
+    sets = rows.join(fitting(wanted.select("tk", "sid"), n_wanted, 24), "tk").select("text", "sid").mapInArrow(_sets(n, salt), "sid long, shingles binary, sketch binary")
+    sets = cut(sets.groupBy("sid").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")), "shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs that are similar.  A set verified against many is sent once for each share of them."""
@@ -351,7 +373,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = components(links)
     members = lists.select("lid", F.explode(F.arrays_zip("sids", "sizes")).alias("m")).select("lid", F.col("m.sids").alias("sid"), F.col("m.sizes").alias("n"))
     members = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("lid", F.coalesce("root", "sid").alias("root"), "sid", "n")
-    mixed = members.groupBy("lid").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.collect_list(F.struct("root", "sid", "n")).alias("members")).where("r0 <> r1")
+    mixed = members.groupBy("lid").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("lid")
+    mixed = members.join(mixed, "lid").join(sets.select("sid", "sketch"), "sid").groupBy("lid").agg(F.collect_list(F.struct("root", "sid", "n", "sketch")).alias("members"))
     rest = cut(mixed.select("members").mapInArrow(_cross_pairs(num, den), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"), "rest")
     more = cut(verified(rest), "verified")
     links = links.union(more)
