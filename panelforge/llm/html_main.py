@@ -84,14 +84,12 @@ def _attributes(raw: str) -> dict:
 
 
 def _element_features(tag: str, attrs: dict, parent_tag: str) -> tuple:
-    out = [] if tag in IMPLIED else ["tag=" + tag]
+    out = [] if tag in IMPLIED else [f"tag={tag}@{parent_tag}" if tag in ("header", "footer") else "tag=" + tag]
     if attrs:
         marks = {_MARK.get(w.lower()) for k in ("class", "id", "role", "aria-label") if k in attrs for w in _NAME.findall(attrs[k])} - {None}
         out += ["mark=" + m for m in marks]
         if "hidden" in attrs:
             out.append("hidden")
-    if tag in ("header", "footer") and parent_tag in ("article", "main", "section"):
-        out.append("inner=" + tag)
     return tuple(out)
 
 
