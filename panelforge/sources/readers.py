@@ -68,7 +68,10 @@ def detect_encoding(spark: SparkSession, path: str, head: int = 1 << 16) -> str:
 
 def read_csv_any(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """CSV with a header, all text; the encoding is probed and a byte-order mark dropped from the first name."""
-    df = spark.read.option("header", True).option("encoding", encoding or detect_encoding(spark, path)).csv(path)
+    encoding = encoding or detect_encoding(spark, path)
+    if not encoding.lower().startswith("utf"):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # else Spark reads a few charsets only
+    df = spark.read.option("header", True).option("encoding", encoding).csv(path)
     return df.withColumnsRenamed({c: c.replace("﻿", "").strip() for c in df.columns})
 
 
