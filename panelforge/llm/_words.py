@@ -82,7 +82,7 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offs.astype(np.int64)
 
 
-def chunks(offs: np.ndarray, most: int = 1 << 21):
+def chunks(offs: np.ndarray, most: int = 1 << 18):
     """Row ranges whose texts have about ``most`` bytes together, at least one row each."""
     i, n = 0, len(offs) - 1
     while i < n:

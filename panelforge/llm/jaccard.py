@@ -47,11 +47,19 @@ from .components import components
 
 MIN_SEGMENT = 2
 #: Signatures that a task packs at a time, and about how many an owner gets.
-FLUSH, OWNER_ENTRIES = 2_000_000, 2_000_000
+FLUSH, OWNER_ENTRIES = 1_000_000, 500_000
 U64 = np.uint64
 _MASK48 = U64((1 << 48) - 1)
 
 
+def signatures_per_shingle(num: int, den: int) -> float:
+    """About how many signatures a set has for each shingle, under both of its segmentations."""
+    segments = 1.05 * (1 + den / num) * (den - num) / (den + num)
+    size = 1 / segments
+    short = math.exp(-size) * (1 + size)  # share of segments with fewer than two shingles
+    return segments * (1 + num / den) * (1 + short * (size + 2))
+
+
 @cache
 def bands(num: int, den: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First size of each band, its segments, and the largest size indexed under it; for sizes up to ``most``."""
@@ -179,7 +187,8 @@ def _lists(batches):
     for b in batches:
         for o, *parts in zip(*[c.to_pylist() for c in b.columns], strict=True):
             rows.setdefault(o, []).append(parts)
-    for parts in rows.values():
+    while rows:
+        _, parts = rows.popitem()
         keys, sids, sizes = [], [], []
         for raw, which, ids, n in parts:
             k = np.zeros((len(raw) // 6, 8), np.uint8)
@@ -189,6 +198,7 @@ def _lists(batches):
             sids.append(np.frombuffer(ids, np.int64)[w])
             sizes.append(np.frombuffer(n, np.int32)[w])
         key, sid, size = np.concatenate(keys), np.concatenate(sids), np.concatenate(sizes)
+        del parts, keys, sids, sizes
         order = np.argsort(key)
         s = key[order]
         same = np.concatenate([[False], s[1:] == s[:-1]])
@@ -348,8 +358,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             break
         salt += 1
 
-    share = 2.2 * (den - num) / (den + num) * (1 + den / num) / 2 + 0.02
-    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((facts["shingles"] or 0) * share / OWNER_ENTRIES))
+    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((facts["shingles"] or 0) * signatures_per_shingle(num, den) / OWNER_ENTRIES))
     packed = rows.select("text").mapInArrow(_index(n, num, den, salt, facts["most"] or 1, min(owners, 65536)), "owner int, keys binary, which binary, sids binary, sizes binary")
     lists = packed.repartition(owners, "owner").mapInArrow(_lists, "h1 long, h2 long, sids array<long>, sizes array<int>")
     lists = cut(lists.groupBy("h1", "h2").agg(F.first("sids").alias("sids"), F.first("sizes").alias("sizes")).select(F.monotonically_increasing_id().alias("lid"), "sids", "sizes"), "lists")
