@@ -9,12 +9,13 @@ bisected instead (1 if none does).
 A source's weight times the budget is its quota of tokens.  Every epoch of a
 source is a permutation of hashed blocks of its rows; whole epochs are taken while the
 quota holds them, then the blocks of the next epoch in order, then the rows of
-the block at the border, in hash order, as far as they fit.
+the block at the border, in hash order, as far as they fit (equal rows together).
 
 Scale: bisection evaluates 15 exponents (4 halvings) in one aggregate over the table of
 sources, which is never collected.  Which rows a quota takes is decided row by
-row from its source's plan; only the rows of one block of each source
-are sorted, so no task gathers a source.
+row from its source's plan (blocks before a border block, and hashes up to a
+border hash inside it); to find the border, only keys and sizes of one block of each
+source are sorted, so no task gathers a source and no text is shuffled.
 
 Tokens of a text are its UTF-8 bytes / ``BYTES_PER_TOKEN``, rounded up, at least 1;
 null text counts as empty.  A null source is the source "".  Repeated rows are
@@ -112,14 +113,16 @@ def mix_sources(docs: DataFrame, keep: list[Column], id_col: str = "doc_id", tex
     sums = planned(narrow, plan).groupBy("source", "block").agg(F.sum("tokens").alias("n"), F.first("left").alias("left"))
     sums = sums.select("source", "block", "n", "left", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     border = sums.where("start <= left AND start + n > left").select("source", F.col("block").alias("cut_block"), (F.col("left") - F.col("start")).alias("rest"))
-    plan = cut(plan.join(border, "source", "left"), "plan")
+    plan = plan.join(border, "source", "left")
+    in_order = Window.partitionBy("source").orderBy("key", "tkey")  # narrow rows of one block of a source; equal rows count together
+    edge = planned(narrow, plan).where("block = cut_block").withColumn("sum", F.sum("tokens").over(in_order)).where("sum <= rest")
+    last = edge.groupBy("source").agg(F.max(F.struct("key", "tkey")).alias("last"))
+    plan = cut(plan.join(last, "source", "left"), "plan")
 
-    ready = planned(rows, plan)
-    whole = F.col("full") + F.when(F.col("block") < F.coalesce("cut_block", F.lit(0)), 1).otherwise(0)
-    taken = ready.where(whole > 0).select("row", "source", "tokens", "weight", "tkey", "blocks", F.explode(F.sequence(F.lit(0), whole - 1)).alias("epoch"))
-    so_far = Window.partitionBy("source").orderBy("key", "tkey").rowsBetween(Window.unboundedPreceding, 0)  # one block of a source
-    edge = ready.where("block = cut_block").withColumn("sum", F.sum("tokens").over(so_far)).where("sum <= rest").select("row", "source", "tokens", "weight", "tkey", "blocks", F.col("full").alias("epoch"))
-    return taken.union(edge).select("row", "source", "tokens", "weight", "epoch", (_key(F.col("tkey"), F.col("epoch"), seed) % F.col("blocks")).alias("block"))
+    taken_part = (F.col("block") < F.col("cut_block")) | ((F.col("block") == F.col("cut_block")) & (F.struct("key", "tkey") <= F.col("last")))
+    times = F.col("full") + F.coalesce(taken_part, F.lit(False)).cast("int")
+    taken = planned(rows, plan).where(times > 0).select("row", "source", "tokens", "weight", "tkey", "blocks", F.explode(F.sequence(F.lit(0), times - 1)).alias("epoch"))
+    return taken.select("row", "source", "tokens", "weight", "epoch", (_key(F.col("tkey"), F.col("epoch"), seed) % F.col("blocks")).alias("block"))
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +152,7 @@ w AS (SELECT source, n, c, pow(p, a) / sum(pow(p, a)) OVER () AS weight FROM src
 plan AS (SELECT source, weight, q // n AS ep, q % n AS rest, ceil(c / {BLOCK_ROWS})::BIGINT AS blocks
          FROM (SELECT *, floor(round(weight * (SELECT t FROM tot), 3))::BIGINT AS q FROM w)),
 k AS (SELECT d.*, weight, ep, rest, blocks, ('0x' || substr(md5('{SEED}|' || ep || '|' || tkey), 1, 8))::BIGINT AS key FROM d JOIN plan USING (source)),
-s AS (SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY key % blocks, key, tkey ROWS UNBOUNDED PRECEDING) AS upto FROM k),
+s AS (SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY key % blocks, key, tkey) AS upto FROM k),
 o AS (SELECT *, unnest(generate_series(0, ep - 1 + (upto <= rest)::INT)) AS epoch FROM s)
 SELECT doc_id, source, tokens, round(weight, 6) AS weight, epoch::INT AS epoch,
        ('0x' || substr(md5('{SEED}|' || epoch || '|' || tkey), 1, 8))::BIGINT % blocks AS block FROM o
