@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of a table that may be sent to every executor; above it the same join shuffles.
 BROADCAST_BYTES = 64 << 20
-#: Rows of an Arrow batch: some MB at usual text lengths.
-BATCH_ROWS = 2000
+#: Rows of an Arrow batch: a few MB at usual text lengths.
+BATCH_ROWS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:

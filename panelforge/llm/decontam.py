@@ -110,8 +110,8 @@ class Block:
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("item", pa.string())]))
 
 
-def _pass(block: Block):
-    """Adds the block's spans to each row's and counts words."""
+def _pass(block: Block, last: bool):
+    """Adds the block's spans to each row's; the last pass counts words and hits and lets the text go."""
 
     def run(batches):
         for b in batches:
@@ -123,23 +123,21 @@ def _pass(block: Block):
                 n_words[i:j] = np.diff(at)
                 for row, p, e, item in block.find(wd.word_hashes(d, starts, ends, wd.LOWER), at):
                     spans[i + row].append({"start": p - int(at[row]), "end": e - int(at[row]), "item": block.ids[item]})
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, _SPANS), pa.array(n_words)], names=["row", "text", "spans", "n_words"])
+            if last:
+                n_hit = np.array([_covered(int(n), s) if s else 0 for n, s in zip(n_words, spans, strict=True)], np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, _SPANS), pa.array(n_words), pa.array(n_hit)], names=["row", "spans", "n_words", "n_hit"])
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, _SPANS)], names=["row", "text", "spans"])
 
     return run
 
 
-def _count(batches):
-    for b in batches:
-        hits = []
-        for n, spans in zip(b.column(2).to_pylist(), b.column(1).to_pylist(), strict=True):
-            if spans:
-                edge = np.zeros(n + 1, np.int32)
-                np.add.at(edge, [s["start"] for s in spans], 1)
-                np.add.at(edge, [s["end"] for s in spans], -1)
-                hits.append(int((np.cumsum(edge) > 0).sum()))
-            else:
-                hits.append(0)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(hits, pa.int64())], names=["row", "spans", "n_words", "n_hit"])
+def _covered(n: int, spans: list[dict]) -> int:
+    """Words inside any of the spans of a text of ``n`` words."""
+    edge = np.zeros(n + 1, np.int32)
+    np.add.at(edge, [s["start"] for s in spans], 1)
+    np.add.at(edge, [s["end"] for s in spans], -1)
+    return int((np.cumsum(edge) > 0).sum())
 
 
 def _scan(docs: DataFrame, row: Column, text_col: str, benchmark: DataFrame, item_col: str, item_text: str, window: int, k: int) -> DataFrame:
@@ -154,8 +152,9 @@ def _scan(docs: DataFrame, row: Column, text_col: str, benchmark: DataFrame, ite
     for n in range(blocks):
         own = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n).collect()  # one block of the query set
         block = Block([r["id"] for r in own], [r["text"] for r in own], window, k)
-        found = found.select("row", "text", "spans").mapInArrow(_pass(block), f"row {kind}, text string, spans {spans}, n_words long")
-    return found.select("row", "spans", "n_words").mapInArrow(_count, f"row {kind}, spans {spans}, n_words long, n_hit long")
+        last = n == blocks - 1
+        found = found.mapInArrow(_pass(block, last), f"row {kind}, " + (f"spans {spans}, n_words long, n_hit long" if last else f"text string, spans {spans}"))
+    return found
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
