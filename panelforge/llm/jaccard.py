@@ -252,11 +252,12 @@ def _first_pairs(num: int, den: int):
 
 
 def odd_sketch(s: np.ndarray) -> bytes:
-    """Parities of the set's shingles over about one bit a shingle.
+    """Parities of the set's shingles over four to eight bits a shingle.
 
-    Two sketches differ in at most as many bits as their sets differ in shingles.
+    Two sketches differ in at most as many bits as their sets differ in shingles, and in nearly as many
+    while sets differ in a part of their shingles only.
     """
-    bits = 1 << max(6, (len(s) - 1).bit_length())
+    bits = 1 << max(6, (len(s) - 1).bit_length() + 2)
     at = (wd.mix64(s ^ U64(0x3C6EF372FE94F82B)) & U64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -271,6 +272,7 @@ def _cross_pairs(num: int, den: int):
     """Pairs of a list's sets that lie in different components and that sizes and sketches leave possible."""
 
     def run(batches):
+        a, b, held = [], [], 0
         for batch in batches:
             for members in batch.column(0):
                 v = members.values
@@ -278,7 +280,6 @@ def _cross_pairs(num: int, den: int):
                 order = np.argsort(n, kind="stable")
                 sketch = _folded(v.field(3).to_pylist())[order]
                 root, sid, n = root[order], sid[order], n[order].astype(np.int64)
-                a, b, held = [], [], 0
                 stop = np.searchsorted(n, n * den // num, side="right")
                 for i in range(len(sid)):
                     other = np.arange(i + 1, stop[i])
@@ -290,11 +291,11 @@ def _cross_pairs(num: int, den: int):
                         a.append(np.full(len(other), sid[i]))
                         b.append(sid[other])
                         held += len(other)
-                    if held > 100_000:
+                    if held > 500_000:
                         yield _pair_batch(a, b)
                         a, b, held = [], [], 0
-                if held:
-                    yield _pair_batch(a, b)
+        if held:
+            yield _pair_batch(a, b)
 
     return run
 
