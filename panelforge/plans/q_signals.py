@@ -303,6 +303,18 @@ def perf_overall_by_layer(spark, d):
     return out.select(*[F.col(c) if c in whole else r6(c) for c in out.columns])
 
 
+@query(
+    f"""SELECT exit_reason, count(*) AS trades, count(DISTINCT date) AS dates, round(avg(target), 6) AS precision, round(avg((ret > 0)::INT), 6) AS win_rate, round(avg(ret), 6) AS avg_ret, round(median(ret), 6) AS median_ret, round(avg(holding_days), 6) AS avg_days
+  FROM rb WHERE ret IS NOT NULL GROUP BY exit_reason""",
+    DP, SC, EN, SG, LD, RB,
+)
+def perf_summary(spark, d):
+    t = simulate.simulate_raw_forced(signals(spark, d), prices(spark, d), 3, 0.08, -0.05).where("ret IS NOT NULL")
+    days = t.groupBy("exit_reason").agg(r6(F.avg("holding_days"), "avg_days"))
+    out = ev.summary(t, ["exit_reason"], "date", "ret", "target")
+    return out.select("exit_reason", "trades", "dates", *[r6(c) for c in ("precision", "win_rate", "avg_ret", "median_ret")]).join(days, "exit_reason")
+
+
 @query("SELECT layer, round(max_drawdown, 6) AS max_drawdown FROM dd", DP, EW, SC, EN, SG, SIM, TL, _DD)
 def max_drawdown(spark, d):
     return ev.daily_drawdown(trades(spark, d), ["layer"], "date", "ret").select("layer", r6("max_drawdown"))

@@ -45,6 +45,12 @@ def breadth(spark, d):
     return index.select("date", *[r6(c, c) for c in _EW_COLS], "limit_up_count", "limit_down_count", "valid_count", r6(F.col("valid_count") / F.col("_u"), "coverage_ratio"))
 
 
+@query("SELECT date, round(ew_open_ret, 6) AS ew_open_ret, round(ew_close_ret, 6) AS ew_close_ret, round(ret_median, 6) AS ret_median, round(ret_std, 6) AS ret_std, valid_count FROM ewi", DP, _RET, _EWI)
+def ew_index_returns(spark, d):
+    out = indices.equal_weight(indices.returns(daily_panel(spark, d), ["entity", "date"]), "date")
+    return out.select("date", *[r6(c, c) for c in ("ew_open_ret", "ew_close_ret", "ret_median", "ret_std")], "valid_count")
+
+
 _LEV = """lev AS (SELECT date, exp(sum(ln(1 + ew_close_ret)) OVER (ORDER BY date)) AS ew_close, ew_open_ret, ew_high_ret, ew_low_ret FROM ewi),
 lev2 AS (SELECT *, coalesce(lag(ew_close) OVER (ORDER BY date), 1.0) AS prev FROM lev)"""
 
