@@ -38,6 +38,12 @@ def cut(df: DataFrame, what: str = "part") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_parts(spark: SparkSession) -> None:
+    """Deletes the tables that ``cut`` wrote; for when all results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/panelforge")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds the rows of an Arrow batch, so that batches of long texts fit a Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
