@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,22 @@ def cut(df: DataFrame, what: str = "part") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trimmed(batches_function):
+    """A function over Arrow batches after which the worker, which Spark keeps, gives freed memory back to the system."""
+
+    @functools.wraps(batches_function)
+    def run(batches):
+        try:
+            yield from batches_function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run
+
+
 def drop_parts(spark: SparkSession) -> None:
     """Deletes the tables that ``cut`` wrote; for when all results are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/panelforge")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import small_batches, table
+from ._spark import small_batches, table, trimmed
 
 WINDOW, K = 10, 5
 BLOCK_BYTES = 8 << 20
@@ -113,6 +113,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("item"
 def _pass(block: Block, last: bool):
     """Adds the block's spans to each row's; the last pass counts words and hits and lets the text go."""
 
+    @trimmed
     def run(batches):
         for b in batches:
             data, offs = wd.text_buffer(b.column(1))

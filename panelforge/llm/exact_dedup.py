@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import golomb
-from ._spark import cut, fitting, small_batches, table
+from ._spark import cut, fitting, small_batches, table, trimmed
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fingerprints for one owner, about.
 OWNER_ROWS = 1_000_000
 
 
+@trimmed
 def _digests(batches):
     for b in batches:
         texts = b.column(2).cast(pa.binary()).to_pylist()
@@ -47,6 +48,7 @@ def _digests(batches):
 
 
 def _lists(owners: int):
+    @trimmed
     def run(batches):
         from pyspark import TaskContext
 
@@ -77,6 +79,7 @@ def _answers(pdf: pd.DataFrame) -> pd.DataFrame:
     return out[[bool(f.any()) for f in flags]]
 
 
+@trimmed
 def _flagged(batches):
     for b in batches:
         found = [v[np.unpackbits(np.frombuffer(m, np.uint8))[: len(v)].astype(bool)] for v, m in ((golomb.decode(x), m) for x, m in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))]

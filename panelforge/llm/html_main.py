@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import small_batches, table
+from ._spark import small_batches, table, trimmed
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose inside is never shown as text of the page.
@@ -388,6 +388,7 @@ def extract(pages: DataFrame, keep: list, html_col: str = "html", model: Model |
     model = model or train(labelled_pages())
     rows = pages.select(F.struct(*keep).alias("row"), F.col(html_col).alias("html"))
 
+    @trimmed
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([model.blocks(x) for x in b.column(1).to_pylist()], pa.list_(pa.string()))], names=["row", "blocks"])

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import cut, fitting, small_batches, table
+from ._spark import cut, fitting, small_batches, table, trimmed
 from .components import components
 
 MIN_SEGMENT = 2
@@ -97,6 +97,7 @@ def _digest(s: np.ndarray, salt: int) -> tuple[int, int]:
 
 
 def _mark(n: int, salt: int):
+    @trimmed
     def run(batches):
         for b in batches:
             size, s1, s2 = (np.zeros(b.num_rows, np.int64) for _ in range(3))
@@ -155,6 +156,7 @@ def _index(n: int, num: int, den: int, salt: int, most: int, owners: int):
         cols = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["owner", "keys", "which", "sids", "sizes"])
 
+    @trimmed
     def run(batches):
         keys, sids, sizes, seen, held = [], [], [], set(), 0
         for b in batches:
@@ -181,6 +183,7 @@ def _index(n: int, num: int, den: int, salt: int, most: int, owners: int):
     return run
 
 
+@trimmed
 def _lists(batches):
     """At an owner: the distinct lists of two or more sets that share a signature."""
     rows: dict[int, list] = {}
@@ -236,6 +239,7 @@ def _pair_batch(a, b):
 def _first_pairs(num: int, den: int):
     """Each set of a list with the hub in the middle and with its neighbour by size."""
 
+    @trimmed
     def run(batches):
         for batch in batches:
             a, b = [], []
@@ -271,6 +275,7 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
 def _cross_pairs(num: int, den: int):
     """Pairs of a list's sets that lie in different components and that sizes and sketches leave possible."""
 
+    @trimmed
     def run(batches):
         a, b, held = [], [], 0
         for batch in batches:
@@ -303,6 +308,7 @@ def _cross_pairs(num: int, den: int):
 def _sets(n: int, salt: int):
     """48-bit shingles and sketches of the sets asked for, once a task."""
 
+    @trimmed
     def run(batches):
         done = set()
         for b in batches:
@@ -325,6 +331,7 @@ def _verify(num: int, den: int):
         out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
         return out.view("<u8").ravel()
 
+    @trimmed
     def run(batches):
         name, hub = None, None
         for batch in batches:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import cut, small_batches, table
+from ._spark import cut, small_batches, table, trimmed
 
 BUCKETS = 1 << 15
 MAX_LANGS = 500
@@ -90,6 +90,7 @@ def _blocks(texts: list[str | None], most: int = 1 << 20):
         yield i, len(texts)
 
 
+@trimmed
 def _count(batches):
     totals: dict[str, np.ndarray] = {}
     n_texts: dict[str, int] = {}
@@ -160,6 +161,7 @@ def identify(docs: DataFrame, model: Model, keep: list[Column], text_col: str =
     small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("has"))
 
+    @trimmed
     def run(batches):
         for b in batches:
             langs, scores = model.predict(b.column(1).to_pylist(), b.column(2).to_pylist())

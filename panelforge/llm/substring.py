@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import small_batches, table
+from ._spark import small_batches, table, trimmed
 
 WINDOW, ANCHOR = 35, 8
 DEPTH, SHARDS = 2, 64
@@ -84,6 +84,7 @@ def _sketch(window: int, k: int, cells: int):
             rows += [(r * SHARDS + s, (cell[a:z] - s * (cells // SHARDS)).astype("<u4").tobytes(), np.packbits(n[a:z] > 1).tobytes()) for s, (a, z) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if z > a]
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.binary())], names=["shard", "cells", "twice"])
 
+    @trimmed
     def run(batches):
         gathered, size = [], 0
         for b in batches:
@@ -166,6 +167,7 @@ def _suspects(window: int, k: int, cells: int, bits):
         columns = [np.where(send, np.array(anchors, dtype=np.int64), k1), k1, k2, np.array(firsts, dtype=np.int32), sizes.astype(np.int32), _packed(hit, sizes), [x if y else None for x, y in zip(blobs, send.tolist(), strict=True)]]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _RUN, strict=True)], names=[n for n, _ in _RUN])
 
+    @trimmed
     def run(batches):
         sketch = bits.value
         texts: dict = {}
@@ -205,6 +207,7 @@ def _suspects(window: int, k: int, cells: int, bits):
     return run
 
 
+@trimmed
 def _repeats(batches):
     """Exact counts of the windows at the task that owns their anchors; runs with a repeated window, as bitmaps."""
     parts = [b for b in batches if b.num_rows]
@@ -232,6 +235,7 @@ def _repeats(batches):
 def _strip(window: int):
     """Removes the covered words: counts, kept text and removed word ranges of each row."""
 
+    @trimmed
     def run(batches):
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()

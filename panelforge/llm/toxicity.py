@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import cut, small_batches, table
+from ._spark import cut, small_batches, table, trimmed
 
 MAX_TRAIN, MAX_FEATURES, MIN_ROWS = 20_000, 2048, 2
 #: Lengths in bytes of word beginnings that are features beside the words, so that inflected forms share evidence.
@@ -52,6 +52,7 @@ def _row_words(col: pa.Array):
         yield i, np.concatenate(rows), np.concatenate(hashes)
 
 
+@trimmed
 def _presence(batches):
     """Rows that hold each word, by grade; summed inside the task first."""
     keys, counts = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
@@ -171,6 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
     best = words.where((n >= MIN_ROWS) & (F.col("high") > n * p)).select("word", gain.alias("gain")).orderBy(F.desc("gain"), "word").limit(MAX_FEATURES).collect()
     model = Model(np.sort(np.array([r["word"] for r in best], dtype=np.int64).view(np.uint64)), len(sizes))
 
+    @trimmed
     def flagged(batches):
         for b in batches:
             r, f = model.flags(b.column(1))
@@ -202,6 +204,7 @@ def score(docs: DataFrame, model: Model, keep: list[Column], text_col: str = "te
     small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text_col).alias("text"))
 
+    @trimmed
     def run(batches):
         for b in batches:
             above = model.above(*model.flags(b.column(1)), b.num_rows)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import small_batches, table
+from ._spark import small_batches, table, trimmed
 
 ORDER = 4
 SYMBOLS = 64
@@ -88,6 +88,7 @@ def _codes(col: pa.Array):
     return _CODE[data[offs[0] : offs[-1]]], offs - offs[0]
 
 
+@trimmed
 def _count(batches):
     totals = np.zeros((2, CELLS), dtype=np.int64)
     for b in batches:
@@ -148,6 +149,7 @@ def train(urls: DataFrame, text: str, accepted: str) -> UrlModel:
     if not model.known:
         return model
 
+    @trimmed
     def bins(batches):
         for b in batches:
             at = np.clip(np.round(model.score(b.column(0)) * 100), -BINS // 2, BINS // 2).astype(np.int32)
@@ -172,6 +174,7 @@ def filter_urls(pages: DataFrame, accepted: Column, rules: Rules, id_col: str =
     rows = rows.select("id", "host", "path", F.concat("host", "path").alias("text"))
     model = train(rows.select("text", F.when(F.col("text") != "", accepted).alias("accepted")), "text", "accepted")
 
+    @trimmed
     def judge(batches):
         for b in batches:
             score = model.score(b.column(3)) if model.known else np.zeros(b.num_rows)
