@@ -45,7 +45,10 @@ IMPLIED = frozenset("li tr td th tbody thead tfoot dt dd".split())
 FAMILY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "tbody": ("tbody thead tfoot tr td th", ("table",)), "option": ("option", ("select",))}
 FAMILY = {k: (frozenset(a.split()), frozenset(b)) for k, (a, b) in FAMILY.items()}
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
+#: An attribute as HTML has it: a quote opens a value only right after "=", and one that never closes is a letter like others.
+_ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+_TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)>", re.A)
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.A)
 _ATTR = re.compile(r"""(class|id|role|aria-label|data-y|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -131,7 +134,7 @@ def parse(source: str) -> Page:
             hidden -= tag in HIDDEN
         del stack[k:]
 
-    pos, end = 0, len(source)
+    pos, end, tag_at = 0, len(source), _TAG.match
     while pos < end:
         at = source.find("<", pos)
         piece = source[pos : end if at < 0 else at]
@@ -141,7 +144,11 @@ def parse(source: str) -> Page:
                 linked += len(piece)
         if at < 0:
             break
-        m = _TAG.match(source, at)
+        m = tag_at(source, at)
+        named = m is None and source[at + 1 : at + 2].isascii() and source[at + 1 : at + 2].isalpha()
+        if named:
+            tag_at = _PLAIN_TAG.match  # quotes pair up past every end: from here on the next ">" ends a tag
+            m = tag_at(source, at)
         if m is None:
             if source.startswith("<!--", at):
                 stop = source.find("-->", at + 4)
@@ -149,8 +156,8 @@ def parse(source: str) -> Page:
             elif source[at + 1 : at + 2] in ("!", "?", "/"):
                 stop = source.find(">", at)
                 pos = end if stop < 0 else stop + 1
-            elif source[at + 1 : at + 2].isalpha():
-                break  # cut inside a tag
+            elif named:
+                break  # cut inside a tag: no ">" follows
             else:
                 if not hidden:
                     run.append("&lt;")

@@ -86,3 +86,13 @@ def test_frame(spark):
 
 def test_model_is_data():
     assert isinstance(train([]), Model)
+
+
+@pytest.mark.parametrize("tag", ["<a href=/x title=O'Neil>x</a>", '<img alt="5" tall">', "<p title=it's>Don't stop here.</p>", "<a b = 'x>y' c=d\" e>x</a>", "<é>"])
+def test_stray_quotes_lose_no_text(tag):
+    """A quote opens a value only right after "=", and only a page without a further ">" ends inside a tag."""
+    got = main_text(f"{tag}<article><p class=a>{LONG}</p><p>It's \"all\" here.</p></article>")
+    assert got[-2:] == [LONG.strip(), 'It\'s "all" here.']
+    assert main_text(f'<article><p>{LONG}</p></article><a href="/x>y</a>') == [LONG.strip()]
+    assert MODEL.blocks(f'<a href="/x>y</a><article><p>{LONG}</p></article>')[-1] == LONG.strip()
+    assert [t for t in parse("<p title=it's>Don't stop here.</p>").text if t] == ["Don't stop here."]
