@@ -46,10 +46,12 @@ FAMILY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("
 FAMILY = {k: (frozenset(a.split()), frozenset(b)) for k, (a, b) in FAMILY.items()}
 
 #: An attribute as HTML has it: a quote opens a value only right after "=", and one that never closes is a letter like others.
-_ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+_ATTRIBUTE = r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
 _TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)>", re.A)
+_ATTR = re.compile(_ATTRIBUTE, re.A)
 _PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.A)
-_ATTR = re.compile(r"""(class|id|role|aria-label|data-y|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: Attributes that are read.
+ATTRIBUTES = frozenset("class id role aria-label hidden data-y".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Words of class, id and role by what they mark.
@@ -83,7 +85,11 @@ _EMPTY: dict = {}
 def _attributes(raw: str) -> dict:
     if not raw or raw.isspace():
         return _EMPTY
-    return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTR.finditer(raw)}
+    out = {}
+    for name, value in _ATTR.findall(raw):
+        if (name := name.lower()) in ATTRIBUTES and name not in out:
+            out[name] = value[1:-1] if value[:1] in ("'", '"') and value[-1] == value[0] and len(value) > 1 else value
+    return out
 
 
 def _element_features(tag: str, attrs: dict, parent_tag: str) -> tuple:
@@ -108,7 +114,8 @@ def _text_features(tag: str, text: str, linked: int) -> tuple:
     )
 
 
-def parse(source: str) -> Page:
+def parse(source: str, labelled: bool = True) -> Page:
+    """``labelled``: reads ``data-y`` (1 or 0; other values say nothing), which only training pages have."""
     page = Page()
     parent, features, texts, labels = page.parent, page.features, page.text, page.label
     stack = [("root", 0, None)]  # open elements: tag, node, label
@@ -213,7 +220,7 @@ def parse(source: str) -> Page:
             pop(1 if len(stack) > 1 and stack[1][0] != "html" else min(2, len(stack)))
         attrs = _attributes(m[3])
         up = stack[-1]
-        label = int(attrs["data-y"]) if "data-y" in attrs else up[2]
+        label = int(attrs["data-y"]) if labelled and attrs.get("data-y") in ("0", "1") else up[2]
         if tag in HIDDEN:
             stack.append((tag, up[1], label))
             hidden += 1
@@ -276,7 +283,7 @@ class Model:
     def blocks(self, source: str | None) -> list[str]:
         if not source:
             return []
-        page = parse(source)
+        page = parse(source, labelled=False)
         return [t for t, p in zip(page.text, self.marginals(page), strict=True) if t is not None and p > 0.5]
 
 

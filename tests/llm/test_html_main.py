@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from panelforge.llm import html_main
 from panelforge.llm.html_main import Model, extract, labelled_pages, parse, train
 
 MODEL = train(labelled_pages())
@@ -96,3 +97,20 @@ def test_stray_quotes_lose_no_text(tag):
     assert main_text(f'<article><p>{LONG}</p></article><a href="/x>y</a>') == [LONG.strip()]
     assert MODEL.blocks(f'<a href="/x>y</a><article><p>{LONG}</p></article>')[-1] == LONG.strip()
     assert [t for t in parse("<p title=it's>Don't stop here.</p>").text if t] == ["Don't stop here."]
+
+
+@pytest.mark.parametrize("attr", ['data-year="2020"', "data-youtube-id=x", "data-y", 'data-y="b"', 'data-y="7"', 'id="a" data-id="comments" id="sidebar" xclass=ad', "aria-hidden='false'"])
+def test_attributes_are_whole_names(attr):
+    assert main_text(f"<article {attr}><p>{LONG}</p></article>") == [LONG.strip()]
+    want = {"id": "a"} if attr.startswith("id") else {}
+    assert {k: v for k, v in html_main._attributes(" " + attr).items() if k != "data-y"} == want
+
+
+@pytest.mark.parametrize("attrs", ['id="comments" width="5"', 'id="comments" data-id="7"', "width=5 ID = 'comments' id=main"])
+def test_first_value_of_an_attribute_stays(attrs):
+    assert "mark=talk" in parse(f"<div {attrs}>x</div>").features[1]
+
+
+def test_labels_are_read_in_training_only():
+    page = "<div data-y=1><p data-y=0>a</p><p data-year=0>b</p></div>"
+    assert parse(page).label == [None, 1, 0, 0, 1, 1] and set(parse(page, labelled=False).label) == {None}
