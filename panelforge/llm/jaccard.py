@@ -23,6 +23,11 @@ few such segments indexes all it has.
    difference of two from below and drops most of the rest unseen by the shuffle.
 Verification intersects the shingle sets recomputed from the texts.
 
+``jaccard_components`` and ``keep_one`` end there.  ``jaccard_join`` gives every link: two linked
+sets are in one component, so each component is dealt in hashed blocks of bounded size and all
+its pairs of blocks are intersected exactly, a pair of blocks a task; no pair of sets becomes a row
+unless the pairs themselves are asked for.
+
 Shingles are compared by 64-bit hashes, in verification by 48 bits of them: for two sets of 1,000
 shingles a false match has a probability below 1e-8.  Digests of sets are checked
 for collisions.  Words: ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text of fewer words than
@@ -48,6 +53,8 @@ from .components import components
 MIN_SEGMENT = 2
 #: Signatures that a task packs at a time, and about how many an owner gets.
 FLUSH, OWNER_ENTRIES = 1_000_000, 500_000
+#: Sets and shingles of a block; a task of the full join compares two blocks of one component.
+BLOCK_SETS, BLOCK_SHINGLES = 1_000, 200_000
 U64 = np.uint64
 _MASK48 = U64((1 << 48) - 1)
 
@@ -326,11 +333,6 @@ def _sets(n: int, salt: int):
 
 
 def _verify(num: int, den: int):
-    def shingles(raw):
-        out = np.zeros((len(raw) // 6, 8), np.uint8)
-        out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-        return out.view("<u8").ravel()
-
     @trimmed
     def run(batches):
         name, hub = None, None
@@ -339,8 +341,8 @@ def _verify(num: int, den: int):
             ok = np.zeros(len(a), bool)
             for i in range(len(a)):
                 if a[i] != name:
-                    name, hub = a[i], shingles(batch.column(2)[i].as_py())
-                y = shingles(batch.column(3)[i].as_py())
+                    name, hub = a[i], _unpacked(batch.column(2)[i].as_py())
+                y = _unpacked(batch.column(3)[i].as_py())
                 at = np.searchsorted(hub, y)
                 at[at == len(hub)] = 0
                 common = int((hub[at] == y).sum())
@@ -351,8 +353,107 @@ def _verify(num: int, den: int):
     return run
 
 
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def similar_pairs(sets: list[np.ndarray], first: int, num: int, den: int):
+    """All similar pairs x < y of sets, as (x, ys); only those across ``first`` if it is not 0."""
+    size = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, own = flat[order], owner[order]
+    start = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    count = np.diff(np.append(start, len(flat)))
+    shared = np.empty(len(flat), np.int64)
+    shared[order] = np.repeat(np.arange(len(start)), count)
+    edge = np.concatenate([[0], np.cumsum(size)])
+    for x in range(first or len(sets)):
+        g = shared[edge[x] : edge[x + 1]]
+        g = g[count[g] > 1]
+        common = np.bincount(own[wd.ranges(start[g], count[g])], minlength=len(sets))
+        low = first or x + 1
+        c = common[low:]
+        yield x, low + np.flatnonzero(den * c >= num * (size[x] + size[low:] - c))
+
+
+def _cell_links(num: int, den: int, as_pairs: bool):
+    """From sets sorted by cell (two blocks of a component): the pairs, or the number of links of each set in the cell."""
+
+    def solve(rows):
+        first = sum(r[0] == rows[0][0] for r in rows) % len(rows)
+        sid = np.array([r[1] for r in rows], np.int64)
+        out = [(np.full(len(y), x), y) for x, y in similar_pairs([_unpacked(r[2]) for r in rows], first, num, den) if len(y)]
+        x, y = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if as_pairs:
+            return np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])
+        links = np.bincount(np.concatenate([x, y]), minlength=len(sid))
+        return sid[links > 0], links[links > 0]
+
+    def batch(done):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*done, strict=True)], names=["u", "v"])
+
+    @trimmed
+    def run(batches):
+        cell, rows, done = None, [], []
+
+        def end():
+            nonlocal done
+            one = rows[0][0] == rows[-1][0]  # block
+            if len(rows) > 1 and one == (cell[1] == cell[2]):  # a block may be empty
+                done.append(solve(rows))
+            if sum(len(u) for u, _ in done) > 100_000 or len(done) > 10_000:
+                yield batch(done)
+                done = []
+
+        for b in batches:
+            for root, i, j, block, sid, raw in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if (root, i, j) != cell:
+                    if rows:
+                        yield from end()
+                    cell, rows = (root, i, j), []
+                rows.append((block, sid, raw))
+        if rows:
+            yield from end()
+        if done:
+            yield batch(done)
+
+    return run
+
+
+def _links(named: DataFrame, sets: DataFrame, num: int, den: int, as_pairs: bool) -> DataFrame:
+    """Columns u, v: all pairs of similar sets, or sets and their numbers of links."""
+    sizes = named.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
+    blocks = sizes.select("root", F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = named.select("sid", "root").join(blocks, "root").select("sid", "root", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"))
+    cells = placed.select("sid", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("sid", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    rows = cells.join(sets.select("sid", "shingles"), "sid").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "block")
+    found = rows.select("root", "i", "j", "block", "sid", "shingles").mapInArrow(_cell_links(num, den, as_pairs), "u long, v long")
+    return found if as_pairs else found.groupBy("u").agg(F.sum("v").alias("v"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(rows, links): id, n_shingles, set_id, component_id, root (the component as a set_id) and text_key of every row; and verified links between set_ids that span all components."""
+    """(rows, links): id, n_shingles, set_id, component_id, root (the component as a set_id) and text_key of every row; and verified links between set_ids that span all components, not all links (``jaccard_join``)."""
+    return _components(docs, id_col, text_col, n, num, den)[:2]
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """(rows, pairs): id, n_shingles, set_id, class_id (smallest id with the same set), component_id and n_links (other sets that are similar) of every row; and all pairs u < v of similar set_ids."""
+    rows, _, named, sets = _components(docs, id_col, text_col, n, num, den)
+    named = cut(named, "named")
+    links = _links(named, sets, num, den, False).select(F.col("u").alias("set_id"), F.col("v").alias("n_links"))
+    known = named.select(F.col("sid").alias("set_id"), F.col("low").alias("class_id")).join(links, "set_id", "left")
+    out = rows.select(F.col(id_col).alias("id"), "n_shingles", "set_id", "component_id").join(known, "set_id", "left")
+    class_id = F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("class_id"))
+    out = out.select(F.col("id").alias(id_col), "n_shingles", "set_id", class_id.alias("class_id"), "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return out, _links(named, sets, num, den, True)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows and links as in ``jaccard_components``; sid, n, low (smallest id), root and component_id of every set; shingles of the sets that share a signature."""
     spark = docs.sparkSession
     small_batches(spark)
     text = F.col(text_col)
@@ -398,12 +499,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
 
-    named = kinds.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "low", F.coalesce("root", "sid").alias("root"))
+    named = kinds.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "n", "low", F.coalesce("root", "sid").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.join(lowest, "root").select("sid", "root", "component_id")
-    out = marked.select("id", "tk", "n", F.when(F.col("n") > 0, F.col("sid")).alias("sid")).join(named, "sid", "left")
+    named = named.join(lowest, "root").select("sid", "n", "low", "root", "component_id")
+    out = marked.select("id", "tk", "n", F.when(F.col("n") > 0, F.col("sid")).alias("sid")).join(named.select("sid", "root", "component_id"), "sid", "left")
     out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.when(F.col("n") > 0, F.col("root")).alias("root"), F.col("tk").alias("text_key"))
-    return out, links
+    return out, links, named, sets
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -443,5 +544,21 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.root AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c USING (doc_id)
 """
 
-QUERIES = {"op5_ngram_jaccard": op5_ngram_jaccard}
-ORACLE = {"op5_ngram_jaccard": OP5_SQL}
+
+def op5_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = jaccard_join(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "class_id", "component_id", "n_links")
+
+
+OP5_LINKS_SQL = (
+    OP5_SQL.partition("SELECT d.doc_id, coalesce")[0]
+    + r"""
+, c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY gs) AS class_id FROM (SELECT doc_id, string_agg(g, chr(10) ORDER BY g) AS gs FROM s GROUP BY doc_id)),
+k AS (SELECT e.x AS doc_id, count(DISTINCT y.class_id) AS n_links FROM e JOIN c x ON x.doc_id = e.x JOIN c y ON y.doc_id = e.y WHERE x.class_id <> y.class_id GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.class_id, d.doc_id) AS class_id, m.root AS component_id, coalesce(k.n_links, 0)::BIGINT AS n_links
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id) JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+)
+
+QUERIES = {"op5_ngram_jaccard": op5_ngram_jaccard, "op5_ngram_jaccard_links": op5_ngram_jaccard_links}
+ORACLE = {"op5_ngram_jaccard": OP5_SQL, "op5_ngram_jaccard_links": OP5_LINKS_SQL}

@@ -8,7 +8,7 @@ import pytest
 
 from panelforge.llm import jaccard
 from panelforge.llm.components import components
-from panelforge.llm.jaccard import bands, jaccard_components, keep_one, odd_sketch, signatures
+from panelforge.llm.jaccard import bands, jaccard_components, jaccard_join, keep_one, odd_sketch, signatures
 
 
 def shingles(t, n):
@@ -124,3 +124,24 @@ def test_components(spark):
 def test_empty(spark, docs_of):
     got, _ = jaccard_components(docs_of([]))
     assert got.collect() == [] and keep_one(docs_of([])).collect() == []
+
+
+@pytest.mark.parametrize("block", [1000, 7])
+def test_join_gives_every_link(spark, docs_of, words, monkeypatch, block):
+    """All pairs of different sets, and the number of links of each row, against brute force; groups larger than a block too."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    rng = random.Random(block)
+    texts = [t for f, (size, members) in enumerate([(60, 40), (200, 25), (12, 9), (5, 6), (90, 2)]) for t in family(rng, f * 10_000, size, members, 4, words)]
+    texts += [words(90_000 + i * 2, 60) for i in range(12)] + [texts[0], texts[3].upper(), "", None, "one"]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    sets = [shingles(t, 3) for t in texts]
+    first = [next((j for j in range(i) if sets[j] == s), i) if s else i for i, s in enumerate(sets)]
+    own = [i for i, s in enumerate(sets) if s and first[i] == i]
+    want = {(i, j) for i in own for j in own if i < j and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])}
+    assert len(want) > 60
+    got, pairs = jaccard_join(docs_of(rows, extra=True))
+    got = got.collect()
+    named = {r.set_id: r.class_id for r in got}
+    found = [tuple(sorted((named[r.u], named[r.v]))) for r in pairs.collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == {i: (first[i], sum(first[i] in p for p in want)) for i in range(len(rows))}
