@@ -8,9 +8,10 @@ ORDER by Witten-Bell smoothing; the score is the log-likelihood difference
 divided by the length, and the threshold is calibrated on labelled URLs that
 were held out of training.
 
-Counts come from every labelled URL: a task adds its URLs into tables of fixed
-size and emits the non-zero cells, which are summed by key, so the data that
-reach the driver and the broadcast are bounded by ``CELLS`` per model.
+Counts are kept by exact context, for those contexts that occur: a task sums its
+URLs by (order, context, symbol) and emits the cells, which are summed by key, so
+the models grow with the distinct contexts of the corpus and no two share a cell.
+A cell takes 16 bytes on the driver and in a worker; nothing is hashed or left out.
 
 Labels are the caller's (a boolean column expression; null: unlabelled).  The
 query labels by a list of host words that mark rejected sites; the models carry
@@ -34,9 +35,8 @@ from ._spark import small_batches, table, trimmed
 
 ORDER = 4
 SYMBOLS = 64
-#: Contexts kept apart for each order 0..ORDER; longer contexts are hashed.
-CONTEXTS = (1, 64, 4096, 8192, 8192)
-CELLS = sum(CONTEXTS) * SYMBOLS
+#: Cells that a task sums before it emits them.
+FLUSH = 2_000_000
 BINS = 4000
 FOLDS = 5
 
@@ -45,6 +45,7 @@ RULES: Rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.
 #: Host words of sites that are rejected as seeds of the second model.
 REJECTED_WORDS = ("adult", "ads", "bet", "bets", "casino", "cheap", "farm", "pills", "porn", "spam", "track", "viagra", "win", "xxx")
 
+_ORDER_BIT = 6 * ORDER
 _CODE = np.full(256, 1, dtype=np.int64)  # other bytes
 for _i, _c in enumerate(b"abcdefghijklmnopqrstuvwxyz0123456789-._~/%+=,;:@!$'()*"):
     _CODE[_c] = _i + 2
@@ -67,19 +68,18 @@ def match_rule(host: Column, path: Column, rules: Rules) -> Column:
     return out if isinstance(out, Column) else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def _cells(codes: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order, the context and symbol of every character; code 0 pads before a text."""
-    out, ctx = [], np.zeros(len(codes), dtype=np.uint64)
+def _contexts(codes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """For each order, the context of every character, with the order above its bits; code 0 pads before a text."""
+    out, ctx = [], np.zeros(len(codes), dtype=np.int64)
     prev = codes
     begun = np.zeros(len(codes), dtype=np.int64)
     begun[first[first < len(codes)]] = 1
     at = np.arange(len(codes)) - np.maximum.accumulate(np.where(begun, np.arange(len(codes)), 0))
-    for k, size in enumerate(CONTEXTS):
+    for k in range(ORDER + 1):
         if k:
             prev = np.concatenate([[0], prev[:-1]])
-            ctx = ctx * np.uint64(64) + np.where(at >= k, prev, 0).astype(np.uint64)
-        where = ctx if 64**k <= size else wd.mix64(ctx) % np.uint64(size)
-        out.append((where.astype(np.int64), codes))
+            ctx = ctx * SYMBOLS + np.where(at >= k, prev, 0)
+        out.append(ctx + (k << _ORDER_BIT))
     return out
 
 
@@ -90,49 +90,67 @@ def _codes(col: pa.Array):
 
 @trimmed
 def _count(batches):
-    totals = np.zeros((2, CELLS), dtype=np.int64)
+    """Sums of cells: context * SYMBOLS + symbol, by label."""
+
+    def summed(parts):
+        cell, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        return cell, np.bincount(at, weights=np.concatenate([n for _, n in parts]), minlength=len(cell)).astype(np.int64)
+
+    def batch(held):
+        return pa.RecordBatch.from_arrays([pa.array((held[0] & 1).astype(np.int32)), pa.array(held[0] >> 1), pa.array(held[1])], names=["label", "cell", "n"])
+
+    parts = []
     for b in batches:
-        label = np.asarray(b.column(1)).astype(np.int64)
         codes, offs = _codes(b.column(0))
-        which = np.repeat(label, np.diff(offs))
-        base = 0
-        for size, (ctx, sym) in zip(CONTEXTS, _cells(codes, offs[:-1]), strict=True):
-            for c in (0, 1):
-                own = which == c
-                totals[c, base : base + size * SYMBOLS] += np.bincount(ctx[own] * SYMBOLS + sym[own], minlength=size * SYMBOLS)
-            base += size * SYMBOLS
-    c, cell = np.nonzero(totals)
-    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(totals[c, cell])], names=["label", "cell", "n"])
+        if not len(codes):
+            continue
+        label = np.repeat(np.asarray(b.column(1)).astype(np.int64), np.diff(offs))
+        cell = np.concatenate([(ctx * SYMBOLS + codes) * 2 + label for ctx in _contexts(codes, offs[:-1])])
+        parts.append(np.unique(cell, return_counts=True))
+        if sum(len(c) for c, _ in parts) > FLUSH:
+            parts = [summed(parts)]
+            if len(parts[0][0]) > FLUSH // 2:
+                yield batch(parts[0])
+                parts = []
+    if parts:
+        yield batch(summed(parts))
+
+
+def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
+    """Values of sorted keys; each distinct key is searched once."""
+    if not len(keys):
+        return np.full(len(wanted), default)
+    distinct, back = np.unique(wanted, return_inverse=True)
+    at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+    return np.where(keys[at] == distinct, values[at], default)[back]
 
 
 class UrlModel:
-    """Both Markov models as interpolation tables: P_k = own[ctx, symbol] + back[ctx] * P_(k-1)."""
-
-    def __init__(self, counts: np.ndarray):
-        self.known = bool(counts[0].any() and counts[1].any())
-        self.own, self.back = [], []
-        for c in (0, 1):
-            own, back, base = [], [], 0
-            for size in CONTEXTS:
-                n = counts[c, base : base + size * SYMBOLS].reshape(size, SYMBOLS).astype(np.float32)
-                base += size * SYMBOLS
-                total, kinds = n.sum(1), (n > 0).sum(1).astype(np.float32)
-                whole = np.maximum(total + kinds, 1)
-                own.append(n / whole[:, None])
-                back.append(np.where(total > 0, kinds / whole, 1).astype(np.float32))
-            self.own.append(own)
-            self.back.append(back)
+    """Both Markov models as sorted tables of what occurs: P_k = own[ctx, symbol] + back[ctx] * P_(k-1)."""
+
+    def __init__(self, cells: list[tuple[np.ndarray, np.ndarray]]):
+        """``cells``: for each label its cells and their counts."""
+        self.known = all(len(cell) for cell, _ in cells)
+        self.tables = []
+        for cell, n in cells:
+            order = np.argsort(cell)
+            cell, n = cell[order], n[order].astype(np.float64)
+            ctx = cell // SYMBOLS
+            first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(ctx) else np.zeros(0, np.int64)
+            kinds = np.diff(np.append(first, len(ctx)))
+            whole = (np.add.reduceat(n, first) if len(first) else np.zeros(0)) + kinds
+            self.tables.append((cell, (n / np.repeat(whole, kinds)).astype(np.float32), ctx[first], (kinds / whole).astype(np.float32)))
         self.threshold = 0.0
 
     def score(self, col: pa.Array) -> np.ndarray:
         """Accepted minus rejected log-likelihood per character; 0 for an empty text."""
         codes, offs = _codes(col)
-        cells = _cells(codes, offs[:-1])
+        contexts = _contexts(codes, offs[:-1])
         logs = []
-        for c in (0, 1):
+        for cells, own, known, back in self.tables:
             p = np.full(len(codes), 1 / SYMBOLS)
-            for k, (ctx, sym) in enumerate(cells):
-                p = self.own[c][k][ctx, sym] + self.back[c][k][ctx] * p
+            for ctx in contexts:
+                p = _look_up(cells, own, ctx * SYMBOLS + codes, 0.0) + _look_up(known, back, ctx, 1.0) * p
             logs.append(np.log(p))
         total = np.concatenate([[0.0], np.cumsum(logs[1] - logs[0])])
         return (total[offs[1:]] - total[offs[:-1]]) / np.maximum(np.diff(offs), 1)
@@ -142,10 +160,9 @@ def train(urls: DataFrame, text: str, accepted: str) -> UrlModel:
     """``urls``: column ``text`` and boolean ``accepted`` (null rows are ignored)."""
     small_batches(urls.sparkSession)
     known = urls.where(F.col(accepted).isNotNull()).select(F.col(text).alias("t"), F.col(accepted).cast("int").alias("label"), F.pmod(F.xxhash64(text), F.lit(FOLDS)).alias("fold"))
-    counts = np.zeros((2, CELLS), dtype=np.int64)
-    for r in known.where("fold <> 0").select("t", "label").mapInArrow(_count, "label int, cell int, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).collect():
-        counts[r["label"], r["cell"]] = r["n"]
-    model = UrlModel(counts)
+    cells = known.where("fold <> 0").select("t", "label").mapInArrow(_count, "label int, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).toArrow()
+    label, cell, n = (cells.column(c).to_numpy() for c in ("label", "cell", "n"))
+    model = UrlModel([(cell[label == c], n[label == c]) for c in (0, 1)])
     if not model.known:
         return model
 

@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import math
+import random
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from panelforge.llm.url_filter import RULES, filter_urls
+from panelforge.llm.url_filter import _CODE, ORDER, RULES, SYMBOLS, UrlModel, _count, filter_urls
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -52,3 +58,34 @@ def test_one_class_or_nothing(spark):
     df = spark.createDataFrame([(1, "http://a.org/", "")], SCHEMA)
     assert [r.verdict for r in filter_urls(df, F.lit(True), []).collect()] == ["allow"]
     assert filter_urls(df.limit(0), F.lit(True), RULES).collect() == []
+
+
+def test_contexts_are_exact_at_any_size():
+    """Scores equal those of a model by dictionaries, over more contexts than fit any fixed table."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789-./") for _ in range(40)) for _ in range(3000)]
+    labels = [i % 2 for i in range(len(texts))]
+    counts = [defaultdict(Counter) for _ in range(2)]
+    for t, y in zip(texts, labels, strict=True):
+        c = [0] * ORDER + [int(_CODE[b]) for b in t.encode()]
+        for i in range(ORDER, len(c)):
+            for k in range(ORDER + 1):
+                counts[y][tuple(c[i - k : i])][c[i]] += 1
+    assert sum(len(k) == 4 for k in counts[0]) > 40_000
+
+    def log_p(model, t):
+        c, out = [0] * ORDER + [int(_CODE[b]) for b in t.encode()], 0.0
+        for i in range(ORDER, len(c)):
+            p = 1 / SYMBOLS
+            for k in range(ORDER + 1):
+                if seen := model.get(tuple(c[i - k : i])):
+                    p = (seen[c[i]] + len(seen) * p) / (sum(seen.values()) + len(seen))
+            out += math.log(p)
+        return out
+
+    cells = pa.Table.from_batches(_count([pa.record_batch([pa.array(texts), pa.array(labels)], names=["t", "label"])]))
+    label, cell, n = (cells.column(c).to_numpy() for c in ("label", "cell", "n"))
+    model = UrlModel([(cell[label == c], n[label == c]) for c in (0, 1)])
+    some = texts[:40] + ["zzzz", "reading.org/x"]
+    got = model.score(pa.array(some))
+    assert got.tolist() == pytest.approx([(log_p(counts[1], t) - log_p(counts[0], t)) / len(t) for t in some], abs=1e-5)
