@@ -5,8 +5,8 @@ fitting rule wins (ties: the greatest rule string).  Other URLs are judged by th
 method: two variable-order Markov models of the lower-cased host and path, one
 trained on accepted and one on rejected URLs, each interpolating orders 0 to
 ORDER by Witten-Bell smoothing; the score is the log-likelihood difference
-divided by the length, and the threshold is calibrated on labelled URLs that
-were held out of training.
+divided by the length.  The threshold is calibrated on a fold of labelled URLs with
+a model that has not seen them; the final model counts every labelled URL.
 
 Counts are kept by exact context, for those contexts that occur: a task sums its
 URLs by (order, context, symbol) and emits the cells, which are summed by key, so
@@ -160,11 +160,14 @@ def train(urls: DataFrame, text: str, accepted: str) -> UrlModel:
     """``urls``: column ``text`` and boolean ``accepted`` (null rows are ignored)."""
     small_batches(urls.sparkSession)
     known = urls.where(F.col(accepted).isNotNull()).select(F.col(text).alias("t"), F.col(accepted).cast("int").alias("label"), F.pmod(F.xxhash64(text), F.lit(FOLDS)).alias("fold"))
-    cells = known.where("fold <> 0").select("t", "label").mapInArrow(_count, "label int, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).toArrow()
-    label, cell, n = (cells.column(c).to_numpy() for c in ("label", "cell", "n"))
-    model = UrlModel([(cell[label == c], n[label == c]) for c in (0, 1)])
-    if not model.known:
-        return model
+    def fit(rows):
+        cells = rows.select("t", "label").mapInArrow(_count, "label int, cell long, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).toArrow()
+        label, cell, n = (cells.column(c).to_numpy() for c in ("label", "cell", "n"))
+        return UrlModel([(cell[label == c], n[label == c]) for c in (0, 1)])
+
+    final, model = fit(known), fit(known.where("fold <> 0"))
+    if not model.known:  # nothing to calibrate with
+        return final
 
     @trimmed
     def bins(batches):
@@ -180,8 +183,8 @@ def train(urls: DataFrame, text: str, accepted: str) -> UrlModel:
         lost, passed = np.cumsum(share[1]), np.cumsum(share[0][::-1])[::-1]
         cost = np.concatenate([[1.0], lost]) + np.concatenate([passed, [0.0]])  # error rates of both kinds if bins below i are rejected
         best = np.flatnonzero(cost <= cost.min() + 1e-12)
-        model.threshold = (float(best[len(best) // 2]) - BINS // 2 - 0.5) / 100
-    return model
+        final.threshold = (float(best[len(best) // 2]) - BINS // 2 - 0.5) / 100
+    return final
 
 
 def filter_urls(pages: DataFrame, accepted: Column, rules: Rules, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -89,3 +89,12 @@ def test_contexts_are_exact_at_any_size():
     some = texts[:40] + ["zzzz", "reading.org/x"]
     got = model.score(pa.array(some))
     assert got.tolist() == pytest.approx([(log_p(counts[1], t) - log_p(counts[0], t)) / len(t) for t in some], abs=1e-5)
+
+
+def test_the_held_out_fold_is_counted_at_the_end(spark):
+    """A rejected class whose URLs all fall in the held-out fold still reaches the model."""
+    names = spark.range(400).select(F.concat(F.lit("casino"), F.col("id").cast("string"), F.lit(".org/")).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(5)) == 0)
+    bad = [f"http://{r.t}" for r in names.limit(20).collect()]
+    rows = [(i, u, "") for i, u in enumerate([f"http://reading{i}.net/" for i in range(100)] + bad)]
+    out = filter_urls(spark.createDataFrame(rows, SCHEMA), ~F.col("host").contains("casino"), []).collect()
+    assert {r.verdict for r in out if "casino" in r.host} == {"block"} and {r.verdict for r in out if "reading" in r.host} == {"allow"}
