@@ -50,6 +50,11 @@ def universe_load(spark, d):
     return readers.universe(load(spark, d, "part"), "p_brand", most=20)
 
 
+@query("SELECT DISTINCT trim(p_brand) AS code FROM part")
+def universe_whole(spark, d):
+    return readers.universe(load(spark, d, "part"), "p_brand")
+
+
 @query(
     """SELECT o_custkey, src, o_orderkey FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY last DESC, CASE src WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END, n DESC, src) AS k FROM
   (SELECT o_custkey, o_orderpriority AS src, o_orderkey, max(o_orderdate) OVER p AS last, count(*) OVER p AS n FROM orders WINDOW p AS (PARTITION BY o_custkey, o_orderpriority))) WHERE k = 1"""
@@ -313,6 +318,12 @@ def mixed_order(spark, d):
     return o.select("o_custkey", "o_orderkey", "o_orderpriority")
 
 
+@query("SELECT o_custkey, o_orderkey, o_orderpriority FROM orders ORDER BY o_orderpriority ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey")
+def mixed_order_whole(spark, d):
+    o = load(spark, d, "orders").orderBy(F.col("o_orderpriority").asc_nulls_last(), F.col("o_totalprice").desc_nulls_last(), "o_orderkey")
+    return o.select("o_custkey", "o_orderkey", "o_orderpriority")
+
+
 # ---- sinks and reports ---------------------------------------------------------------------------
 
 

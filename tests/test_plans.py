@@ -69,3 +69,13 @@ def test_no_query_has_a_cross_join_or_python_rows(spark):
     for name, f in QUERIES.items():
         text = plan(f(spark, SF))
         assert "CartesianProduct" not in text and "BatchEvalPython" not in text, name
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
+def test_whole_order_and_universe_have_no_row_cap(spark):
+    order, universe = (QUERIES[x](spark, SF) for x in ("mixed_order_whole", "universe_whole"))
+    assert "TakeOrdered" not in plan(order) and "Sort [" in plan(order)
+    assert order.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert universe.count() == spark.read.parquet(f"{SF}/part.parquet").select(F.trim("p_brand")).distinct().count()
+    rows = [(r.o_orderpriority, r.o_orderkey) for r in order.collect()]
+    assert [x for x, _ in rows] == sorted(x for x, _ in rows)
