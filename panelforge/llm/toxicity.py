@@ -151,6 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
     """``grade``: an integer expression over ``labels``, 0 for clean and larger for worse."""
     small_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade")).where("id IS NOT NULL AND grade IS NOT NULL")
+    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")  # labels of other tables' documents take none of the bound
     some = known.orderBy(F.xxhash64("id"), "id", "grade").limit(MAX_TRAIN)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(some), "id")  # MAX_TRAIN rows of two numbers
     rows = cut(rows.select("id", "text", "grade"), "labelled")

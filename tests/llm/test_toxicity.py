@@ -5,6 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from panelforge.llm import toxicity
 from panelforge.llm.toxicity import Model, drop_toxic, score, severity_grade, train
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -59,3 +60,11 @@ def test_drop_and_edges(spark, docs_of):
     for lab in ([], [(1, 1, 0)], [(None, 1, 1), (2, None, None)]):  # fewer than two grades
         assert drop_toxic(docs_of(rows), spark.createDataFrame(lab, LABELS)).count() == len(rows)
     assert drop_toxic(docs_of([]), spark.createDataFrame(labels, LABELS)).collect() == []
+
+
+def test_labels_of_other_documents_take_none_of_the_bound(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TRAIN", 400)
+    rows, labels = corpus()
+    others = [(10_000 + i, 1, i % 2) for i in range(20_000)]
+    kept = drop_toxic(docs_of(rows), spark.createDataFrame(labels + others, LABELS))
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, _, t in labels if not t]
