@@ -8,6 +8,8 @@ multi-byte characters are all above 0x7F, so splitting bytes is exact.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,33 +31,10 @@ SAME = np.arange(256, dtype=np.uint8)
 LOWER = SAME.copy()
 LOWER[0x41:0x5B] += 32
 
-_BYTE_BASE = 0x9E3779B97F4A7C15 | 1
-WORD_BASES = (0xC2B2AE3D27D4EB4F | 1, 0xD6E8FEB86659FD93 | 1)
-
-
-class _Powers:
-    """Powers of an odd base modulo 2**64 and of its inverse, grown on demand."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, dtype=U64)
-
-    def get(self, n: int):
-        if n > len(self.up):
-            n = max(n, 1 << 16)
-            self.up = self._table(self.base, n)
-            self.down = self._table(self.inverse, n)
-        return self.up, self.down
-
-    @staticmethod
-    def _table(base: int, n: int) -> np.ndarray:
-        t = np.full(n, base, dtype=U64)
-        t[0] = 1
-        return np.multiply.accumulate(t)
-
-
-_bytes = _Powers(_BYTE_BASE)
-_words = [_Powers(b) for b in WORD_BASES]
+#: Words of up to so many bytes are mixed bijectively; of more, through two chains; of more than LONG_WORD, through BLAKE2.
+SHORT_WORD, LONG_WORD = 7, 64
+_A, _B = U64(0xC2B2AE3D27D4EB4F), U64(0xD6E8FEB86659FD93)
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -113,24 +92,90 @@ def split(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray):
 
 
 def word_hashes(d: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
-    """A 64-bit hash of each word's bytes after the byte map ``fold``."""
+    """A 64-bit hash of each word's bytes after the byte map ``fold``.
+
+    Words of up to SHORT_WORD bytes fill a 64-bit number with their length, which a bijection mixes: no two
+    collide.  The 8-byte blocks of longer ones go through two unlike chains of multiply-xorshift mixes, so that no
+    block can undo another; the longest words get a cryptographic hash.
+    """
     if not len(starts):
         return np.zeros(0, U64)
-    up, down = _bytes.get(len(d) + 1)
-    total = np.zeros(len(d) + 1, dtype=U64)
-    np.cumsum((fold[d].astype(U64) + U64(1)) * up[: len(d)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * down[starts])
+    f = np.zeros(len(d) + 8, np.uint8)
+    f[: len(d)] = d if fold is SAME else fold[d]
+    block = np.ndarray((len(d) + 1,), "<u8", f, strides=(1,))  # the 8 bytes from each byte on
+    size = ends - starts
+    short = np.minimum(size, SHORT_WORD)
+    h = mix64((block[starts] & _LOW_BYTES[short]) | (short.astype(U64) << U64(56)))
+    live, at = np.flatnonzero((size > SHORT_WORD) & (size <= LONG_WORD)), 0
+    one = two = size[live].astype(U64) * _A
+    while len(live):
+        b = block[starts[live] + at] & _LOW_BYTES[np.minimum(size[live] - at, 8)]
+        one, two = mix64(one * _B ^ b), mix64((two ^ (two >> U64(31))) + b * _A)
+        at += 8
+        done = size[live] <= at
+        h[live[done]] = mix64(one[done] ^ (two[done] * _B))
+        live, one, two = live[~done], one[~done], two[~done]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(f[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * _A
+    x ^= x >> U64(32)
+    x += b
+    x *= _B
+    x ^= x >> U64(29)
+    return x
 
 
-def grams(h: np.ndarray, k: int, which: int = 0) -> np.ndarray:
-    """Rolling hash of each ``k`` consecutive entries of ``h`` (row borders are the caller's matter)."""
-    n = len(h)
-    if n < k:
+def grams(h: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each ``k`` consecutive entries of ``h``, by doubling (row borders are the caller's matter)."""
+    if len(h) < k:
         return np.zeros(0, U64)
-    up, down = _words[which].get(n + 1)
-    total = np.zeros(n + 1, dtype=U64)
-    np.cumsum(h * up[:n], out=total[1:])
-    return mix64((total[k:] - total[:-k]) * down[: n - k + 1] + U64(k))
+    have, x = 1, h
+    while have * 2 <= k:
+        x = _joined(x[:-have], x[have:])
+        have *= 2
+    if have < k:
+        x = _joined(x[: len(h) - k + 1], x[k - have :])
+    return mix64(x + U64(k))
+
+
+def plain(d: np.ndarray, starts: np.ndarray, ends: np.ndarray, is_word: np.ndarray, fold: np.ndarray = SAME):
+    """The words after ``fold`` as bytes, one blank between those of a row; start and end of each word in them."""
+    w = is_word[d]
+    keep = w.copy()
+    keep[1:] |= w[:-1]
+    out = (d if fold is SAME else fold[d])[keep]
+    out[~w[keep]] = 32
+    begin = (np.cumsum(keep) - keep)[starts] if len(starts) else starts
+    return out, begin, begin + (ends - starts)
+
+
+def word_ids(d: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers of words: equal if and only if the words are; and how many there are."""
+    if not len(starts):
+        return np.zeros(0, np.int64), 0
+    size = ends - starts
+    offs = np.concatenate([[0], np.cumsum(size)])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offs.astype(np.int64)), pa.py_buffer(d[ranges(starts, size)])])
+    coded = words.dictionary_encode()
+    return np.asarray(coded.indices).astype(np.int64), len(coded.dictionary)
+
+
+def gram_ids(ids: np.ndarray, kinds: int, k: int) -> np.ndarray:
+    """Numbers of each ``k`` consecutive entries of ``ids`` (below ``kinds``): equal if and only if the entries are."""
+    out, many = ids, max(kinds, 1)
+    for j in range(1, k):
+        if len(out) < 2:
+            return out[: max(len(ids) - k + 1, 0)]
+        if many * max(kinds, 1) >= 1 << 62:
+            out = np.unique(out, return_inverse=True)[1]
+            many = int(out.max()) + 1
+        out = out[:-1] * kinds + ids[j:]
+        many *= max(kinds, 1)
+    return out
 
 
 def gram_rows(word_at: np.ndarray, k: int):

@@ -15,25 +15,26 @@ few such segments indexes all it has.
 
 1. One pass gives each row its set's size and 128-bit digest; equal sets become one.
 2. A second pass sends the signatures, packed by owner, to owners that keep the
-   lists of sets sharing a signature; equal lists are kept once.
+   lists of sets sharing a signature, in parts of bounded length; equal lists are kept once.
 3. In each list every set is verified against one hub and its neighbour by size.
 4. Components of the verified links are found; only lists that still hold several
    components give further pairs, between components.  A pair inside one
-   component can't change the result.  A parity sketch of each set bounds the
+   component can't change the result.  A long list is compared in cells of two blocks, a
+   cell a task, and blocks of one component are never put together.  A parity sketch of each set bounds the
    difference of two from below and drops most of the rest unseen by the shuffle.
-Verification intersects the shingle sets recomputed from the texts.
+Verification is exact: it numbers the words of the two texts themselves and intersects their shingles.
 
 ``jaccard_components`` and ``keep_one`` end there.  ``jaccard_join`` gives every link: two linked
 sets are in one component, so each component is dealt in hashed blocks of bounded size and all
 its pairs of blocks are intersected exactly, a pair of blocks a task; no pair of sets becomes a row
 unless the pairs themselves are asked for.
 
-Shingles are compared by 64-bit hashes, in verification by 48 bits of them: for two sets of 1,000
-shingles a false match has a probability below 1e-8.  Digests of sets are checked
+Hashes only find candidates and sizes of sets: a shingle has 64 bits, so two different ones among
+the 1,000 of a text count as one with a probability below 1e-13.  Digests of sets are checked
 for collisions.  Words: ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text of fewer words than
 ``n`` is one shingle; null, empty and blank texts have none and link with nothing.
 Repeated rows are equal sets; a null id never names a component that has another
-id; an empty table gives an empty result; other columns are ignored.
+id; ids are whole numbers (a text id fails); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,6 +56,10 @@ MIN_SEGMENT = 2
 FLUSH, OWNER_ENTRIES = 1_000_000, 500_000
 #: Sets and shingles of a block; a task of the full join compares two blocks of one component.
 BLOCK_SETS, BLOCK_SHINGLES = 1_000, 200_000
+#: Sets in a part of a list, and in a block of a list whose components are compared.
+PART_SETS, LIST_BLOCK = 4096, 512
+#: Sets that a task verifies against one hub, and bytes of text that it numbers at a time.
+SHARE_SETS, VERIFY_BYTES = 512, 1 << 22
 U64 = np.uint64
 _MASK48 = U64((1 << 48) - 1)
 
@@ -190,50 +195,61 @@ def _index(n: int, num: int, den: int, salt: int, most: int, owners: int):
     return run
 
 
-@trimmed
-def _lists(batches):
-    """At an owner: the distinct lists of two or more sets that share a signature."""
-    rows: dict[int, list] = {}
-    for b in batches:
-        for o, *parts in zip(*[c.to_pylist() for c in b.columns], strict=True):
-            rows.setdefault(o, []).append(parts)
-    while rows:
-        _, parts = rows.popitem()
-        keys, sids, sizes = [], [], []
-        for raw, which, ids, n in parts:
-            k = np.zeros((len(raw) // 6, 8), np.uint8)
-            k[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-            w = np.frombuffer(which, "<u4" if len(ids) // 8 > 65535 else "<u2")
-            keys.append(k.view("<u8").ravel())
-            sids.append(np.frombuffer(ids, np.int64)[w])
-            sizes.append(np.frombuffer(n, np.int32)[w])
-        key, sid, size = np.concatenate(keys), np.concatenate(sids), np.concatenate(sizes)
-        del parts, keys, sids, sizes
-        order = np.argsort(key)
-        s = key[order]
-        same = np.concatenate([[False], s[1:] == s[:-1]])
-        twice = same | np.concatenate([same[1:], [False]])
-        order = order[twice]
-        order = order[np.lexsort((sid[order], size[order], key[order]))]
-        key, sid, size = key[order], sid[order], size[order]
-        if not len(key):
-            continue
-        keep = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])
-        key, sid, size = key[keep], sid[keep], size[keep]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        count = np.diff(np.append(first, len(key)))
-        h1 = np.add.reduceat(wd.mix64(sid.view(U64)), first)
-        h2 = np.add.reduceat(wd.mix64(sid.view(U64) ^ U64(0x1F83D9ABFB41BD6B)), first)
-        many = np.flatnonzero(count > 1)
-        if not len(many):
-            continue
-        pick = many[np.unique(np.stack([h1[many], h2[many]]), axis=1, return_index=True)[1]]
-        at = wd.ranges(first[pick], count[pick])
-        offsets = pa.array(np.concatenate([[0], np.cumsum(count[pick])]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h1[pick].view(np.int64)), pa.array(h2[pick].view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(sid[at])), pa.ListArray.from_arrays(offsets, pa.array(size[at]))],
-            names=["h1", "h2", "sids", "sizes"],
-        )
+def _lists(part_sets: int):
+    """At an owner: the distinct lists of two or more sets that share a signature, sorted by size, in parts."""
+
+    @trimmed
+    def run(batches):
+        rows: dict[int, list] = {}
+        for b in batches:
+            for o, *parts in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                rows.setdefault(o, []).append(parts)
+        while rows:
+            _, parts = rows.popitem()
+            keys, sids, sizes = [], [], []
+            for raw, which, ids, n in parts:
+                k = np.zeros((len(raw) // 6, 8), np.uint8)
+                k[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+                w = np.frombuffer(which, "<u4" if len(ids) // 8 > 65535 else "<u2")
+                keys.append(k.view("<u8").ravel())
+                sids.append(np.frombuffer(ids, np.int64)[w])
+                sizes.append(np.frombuffer(n, np.int32)[w])
+            key, sid, size = np.concatenate(keys), np.concatenate(sids), np.concatenate(sizes)
+            del parts, keys, sids, sizes
+            order = np.argsort(key)
+            s = key[order]
+            same = np.concatenate([[False], s[1:] == s[:-1]])
+            twice = same | np.concatenate([same[1:], [False]])
+            order = order[twice]
+            order = order[np.lexsort((sid[order], size[order], key[order]))]
+            key, sid, size = key[order], sid[order], size[order]
+            if not len(key):
+                continue
+            keep = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])
+            key, sid, size = key[keep], sid[keep], size[keep]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            count = np.diff(np.append(first, len(key)))
+            h1 = np.add.reduceat(wd.mix64(sid.view(U64)), first)
+            h2 = np.add.reduceat(wd.mix64(sid.view(U64) ^ U64(0x1F83D9ABFB41BD6B)), first)
+            many = np.flatnonzero(count > 1)
+            if not len(many):
+                continue
+            pick = many[np.unique(np.stack([h1[many], h2[many]]), axis=1, return_index=True)[1]]
+            out = []
+            for a, n, x, y in zip(first[pick].tolist(), count[pick].tolist(), h1[pick].view(np.int64).tolist(), h2[pick].view(np.int64).tolist(), strict=True):
+                hub = a + n // 2
+                for part, f in enumerate(range(a, a + n, part_sets)):
+                    z = min(f + part_sets, a + n)
+                    prev = max(f - 1, a)  # the neighbour in the part before; itself in the first part
+                    out.append((x, y, part, int(sid[hub]), int(size[hub]), int(sid[prev]), int(size[prev]), sid[f:z], size[f:z]))
+            columns = list(zip(*out, strict=True))
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["h1", "h2", "part", "hub", "hub_n", "prev", "prev_n", "sids", "sizes"])
+
+    return run
+
+
+_LIST = "h1 long, h2 long, part int, hub long, hub_n int, prev long, prev_n int, sids array<long>, sizes array<int>"
 
 
 def _pair_batch(a, b):
@@ -244,19 +260,19 @@ def _pair_batch(a, b):
 
 
 def _first_pairs(num: int, den: int):
-    """Each set of a list with the hub in the middle and with its neighbour by size."""
+    """Each set of a list's part with the hub in the middle of the list and with its neighbour by size."""
 
     @trimmed
     def run(batches):
         for batch in batches:
             a, b = [], []
-            for sids, sizes in zip(batch.column(0), batch.column(1), strict=True):
+            for hub, hub_n, prev, prev_n, sids, sizes in zip(*[c.to_pylist() for c in batch.columns[:4]], batch.column(4), batch.column(5), strict=True):
                 sid, n = np.asarray(sids.values), np.asarray(sizes.values).astype(np.int64)
-                hub = len(sid) // 2
-                x, y = np.concatenate([np.full(len(sid), hub), np.arange(1, len(sid))]), np.concatenate([np.arange(len(sid)), np.arange(len(sid) - 1)])
-                ok = (x != y) & (den * np.minimum(n[x], n[y]) >= num * np.maximum(n[x], n[y]))
-                a.append(sid[x[ok]])
-                b.append(sid[y[ok]])
+                x, nx = np.concatenate([np.full(len(sid), hub), [prev], sid[:-1]]), np.concatenate([np.full(len(sid), hub_n), [prev_n], n[:-1]])
+                y, ny = np.concatenate([sid, sid]), np.concatenate([n, n])
+                ok = (x != y) & (den * np.minimum(nx, ny) >= num * np.maximum(nx, ny))
+                a.append(x[ok])
+                b.append(y[ok])
             yield _pair_batch(a, b)
 
     return run
@@ -280,22 +296,22 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
 
 
 def _cross_pairs(num: int, den: int):
-    """Pairs of a list's sets that lie in different components and that sizes and sketches leave possible."""
+    """Pairs of the sets of a cell (one block of a list, or two) that lie in different components and that sizes and sketches leave possible."""
 
     @trimmed
     def run(batches):
         a, b, held = [], [], 0
         for batch in batches:
-            for members in batch.column(0):
+            for own, members in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 v = members.values
-                root, sid, n = (np.asarray(v.field(k)) for k in range(3))
+                block, root, sid, n = (np.asarray(v.field(k)) for k in range(4))
                 order = np.argsort(n, kind="stable")
-                sketch = _folded(v.field(3).to_pylist())[order]
-                root, sid, n = root[order], sid[order], n[order].astype(np.int64)
+                sketch = _folded(v.field(4).to_pylist())[order]
+                block, root, sid, n = block[order], root[order], sid[order], n[order].astype(np.int64)
                 stop = np.searchsorted(n, n * den // num, side="right")
                 for i in range(len(sid)):
                     other = np.arange(i + 1, stop[i])
-                    other = other[root[other] != root[i]]
+                    other = other[(root[other] != root[i]) & (own | (block[other] != block[i]))]
                     both = n[other] + n[i]
                     most = both - 2 * -(-num * both // (num + den))
                     other = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64) <= most]
@@ -313,52 +329,70 @@ def _cross_pairs(num: int, den: int):
 
 
 def _sets(n: int, salt: int):
-    """48-bit shingles and sketches of the sets asked for, once a task."""
+    """Words and sketches of the sets asked for, once a task; the words lower-cased with one blank between."""
 
     @trimmed
     def run(batches):
         done = set()
         for b in batches:
             want = b.column(1).to_pylist()
-            ids, blobs, sketches = [], [], []
+            ids, texts, sketches = [], [], []
             for i, s in shingle_sets(b.column(0), n):
                 if want[i] not in done and _digest(s, salt)[0] == want[i]:
                     done.add(want[i])
                     ids.append(want[i])
-                    blobs.append(np.unique(s & _MASK48).view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+                    texts.append(b" ".join(b.column(0)[i].as_buffer().to_pybytes().lower().split()))  # of bytes: A-Z and the six separators only
                     sketches.append(odd_sketch(s))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary()), pa.array(sketches, pa.binary())], names=["sid", "shingles", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), pa.array(sketches, pa.binary())], names=["sid", "words", "sketch"])
 
     return run
 
 
-def _verify(num: int, den: int):
+def exact_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """Sorted distinct shingles of texts of words; two numbers are equal if and only if their words are."""
+    data, offs = wd.text_buffer(texts)
+    d, starts, ends, at = wd.split(data, offs, wd.NON_SPACE)
+    ids, kinds = wd.word_ids(d, starts, ends)
+    g = wd.gram_ids(ids, kinds, n)
+    short: dict[tuple, int] = {}
+    out = []
+    for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        if z - a >= n:
+            out.append(np.unique(g[a : z - n + 1]))
+        else:
+            out.append(np.array([-1 - short.setdefault(tuple(ids[a:z].tolist()), len(short))], np.int64) if z > a else g[:0])
+    return out
+
+
+def _similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    at = np.searchsorted(x, y)
+    at[at == len(x)] = 0
+    common = int((x[at] == y).sum())
+    return den * common >= num * (len(x) + len(y) - common)
+
+
+def _verify(n: int, num: int, den: int):
+    """From rows sorted by (a, part, b) whose first of each (a, part) has the words of ``a`` and no ``b``: the similar pairs."""
+
     @trimmed
     def run(batches):
-        name, hub = None, None
+        hub = b""
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ok = np.zeros(len(a), bool)
-            for i in range(len(a)):
-                if a[i] != name:
-                    name, hub = a[i], _unpacked(batch.column(2)[i].as_py())
-                y = _unpacked(batch.column(3)[i].as_py())
-                at = np.searchsorted(hub, y)
-                at[at == len(hub)] = 0
-                common = int((hub[at] == y).sum())
-                ok[i] = den * common >= num * (len(hub) + len(y) - common)
-            keep = np.flatnonzero(ok)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["u", "v"])
+            a, b, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            u, v = [], []
+            for i, j in wd.chunks(wd.text_buffer(texts)[1], VERIFY_BYTES):
+                own, *sets = exact_sets(pa.concat_arrays([pa.array([hub], texts.type), texts.slice(i, j - i)]), n)
+                for k, s in enumerate(sets, i):
+                    if b[k] is None:
+                        own, hub = s, texts[k].as_py()
+                    elif _similar(own, s, num, den):
+                        u.append(a[k])
+                        v.append(b[k])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return run
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
 def similar_pairs(sets: list[np.ndarray], first: int, num: int, den: int):
     """All similar pairs x < y of sets, as (x, ys); only those across ``first`` if it is not 0."""
     size = np.array([len(s) for s in sets])
@@ -379,13 +413,13 @@ def similar_pairs(sets: list[np.ndarray], first: int, num: int, den: int):
         yield x, low + np.flatnonzero(den * c >= num * (size[x] + size[low:] - c))
 
 
-def _cell_links(num: int, den: int, as_pairs: bool):
+def _cell_links(n: int, num: int, den: int, as_pairs: bool):
     """From sets sorted by cell (two blocks of a component): the pairs, or the number of links of each set in the cell."""
 
     def solve(rows):
         first = sum(r[0] == rows[0][0] for r in rows) % len(rows)
         sid = np.array([r[1] for r in rows], np.int64)
-        out = [(np.full(len(y), x), y) for x, y in similar_pairs([_unpacked(r[2]) for r in rows], first, num, den) if len(y)]
+        out = [(np.full(len(y), x), y) for x, y in similar_pairs(exact_sets(pa.array([r[2] for r in rows], pa.binary()), n), first, num, den) if len(y)]
         x, y = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         if as_pairs:
             return np.minimum(sid[x], sid[y]), np.maximum(sid[x], sid[y])
@@ -423,18 +457,38 @@ def _cell_links(num: int, den: int, as_pairs: bool):
     return run
 
 
-def _links(named: DataFrame, sets: DataFrame, num: int, den: int, as_pairs: bool) -> DataFrame:
+def _links(named: DataFrame, sets: DataFrame, n: int, num: int, den: int, as_pairs: bool) -> DataFrame:
     """Columns u, v: all pairs of similar sets, or sets and their numbers of links."""
     sizes = named.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
     blocks = sizes.select("root", F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = named.select("sid", "root").join(blocks, "root").select("sid", "root", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"))
     cells = placed.select("sid", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("sid", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rows = cells.join(sets.select("sid", "shingles"), "sid").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "block")
-    found = rows.select("root", "i", "j", "block", "sid", "shingles").mapInArrow(_cell_links(num, den, as_pairs), "u long, v long")
+    rows = cells.join(sets.select("sid", "words"), "sid").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "block")
+    found = rows.select("root", "i", "j", "block", "sid", "words").mapInArrow(_cell_links(n, num, den, as_pairs), "u long, v long")
     return found if as_pairs else found.groupBy("u").agg(F.sum("v").alias("v"))
 
 
+def _cells(members: DataFrame) -> DataFrame:
+    """lid, i, j, block, root, sid, n: the sets of each list in cells of one block or two; every pair of components meets in a cell.
+
+    A component of over LIST_BLOCK sets of a list has blocks of its own, which never meet; the others share blocks.
+    """
+    sizes = members.groupBy("lid", "root").agg(F.count(F.lit(1)).alias("sets"))
+    large = F.col("sets") > LIST_BLOCK
+    small = sizes.where(~large).groupBy("lid").agg(F.ceil(F.sum("sets") / LIST_BLOCK).cast("long").alias("blocks"))
+    plan = sizes.join(small, "lid", "left")
+    plan = plan.select("lid", "root", large.alias("large"), F.when(large, F.ceil(F.col("sets") / LIST_BLOCK).cast("long")).otherwise(F.col("blocks")).alias("blocks"))
+    own = F.xxhash64("root", F.pmod(F.xxhash64("sid"), F.col("blocks"))).bitwiseOR(F.lit(-(1 << 63)))  # below 0
+    placed = members.join(plan, ["lid", "root"])
+    placed = placed.select("lid", "root", "sid", "n", F.when(F.col("large"), own).otherwise(F.pmod(F.xxhash64("root"), F.col("blocks"))).alias("block"), F.when(F.col("large"), F.col("root")).alias("only"))
+    blocks = cut(placed.groupBy("lid", "block").agg(F.min("only").alias("only")), "blocks")
+    pairs = blocks.select("lid", F.col("block").alias("i"), F.col("only").alias("x")).join(blocks.select("lid", F.col("block").alias("j"), F.col("only").alias("y")), "lid")
+    pairs = pairs.where("i <= j AND NOT coalesce(x = y, false)")
+    ends = pairs.select("lid", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    return placed.select("lid", "root", "sid", "n", "block").join(ends, ["lid", "block"])
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """(rows, links): id, n_shingles, set_id, component_id, root (the component as a set_id) and text_key of every row; and verified links between set_ids that span all components, not all links (``jaccard_join``)."""
     return _components(docs, id_col, text_col, n, num, den)[:2]
@@ -444,16 +498,16 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(rows, pairs): id, n_shingles, set_id, class_id (smallest id with the same set), component_id and n_links (other sets that are similar) of every row; and all pairs u < v of similar set_ids."""
     rows, _, named, sets = _components(docs, id_col, text_col, n, num, den)
     named = cut(named, "named")
-    links = _links(named, sets, num, den, False).select(F.col("u").alias("set_id"), F.col("v").alias("n_links"))
+    links = _links(named, sets, n, num, den, False).select(F.col("u").alias("set_id"), F.col("v").alias("n_links"))
     known = named.select(F.col("sid").alias("set_id"), F.col("low").alias("class_id")).join(links, "set_id", "left")
     out = rows.select(F.col(id_col).alias("id"), "n_shingles", "set_id", "component_id").join(known, "set_id", "left")
     class_id = F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("class_id"))
     out = out.select(F.col("id").alias(id_col), "n_shingles", "set_id", class_id.alias("class_id"), "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    return out, _links(named, sets, num, den, True)
+    return out, _links(named, sets, n, num, den, True)
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Rows and links as in ``jaccard_components``; sid, n, low (smallest id), root and component_id of every set; shingles of the sets that share a signature."""
+    """Rows and links as in ``jaccard_components``; sid, n, low (smallest id), root and component_id of every set; words of the sets that share a signature."""
     spark = docs.sparkSession
     small_batches(spark)
     text = F.col(text_col)
@@ -461,7 +515,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, d
     salt = 0
     while True:
         marked = cut(rows.mapInArrow(_mark(n, salt), "id long, tk long, n long, sid long, s2 long"), "sets")
-        kinds = cut(marked.where("n > 0").groupBy("sid", "s2").agg(F.min("id").alias("low"), F.min("tk").alias("tk"), F.first("n").alias("n")), "kinds")
+        kinds = cut(marked.where("n > 0").groupBy("sid", "s2").agg(F.min("id").alias("low"), F.min(F.struct("tk", "id")).alias("of"), F.first("n").alias("n")), "kinds")
         facts = kinds.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("sid").alias("ids"), F.sum("n").alias("shingles"), F.max("n").alias("most")).first()
         if facts["rows"] == facts["ids"]:
             break
@@ -469,31 +523,35 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, d
 
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((facts["shingles"] or 0) * signatures_per_shingle(num, den) / OWNER_ENTRIES))
     packed = rows.select("text").mapInArrow(_index(n, num, den, salt, facts["most"] or 1, min(owners, 65536)), "owner int, keys binary, which binary, sids binary, sizes binary")
-    lists = packed.repartition(owners, "owner").mapInArrow(_lists, "h1 long, h2 long, sids array<long>, sizes array<int>")
-    lists = cut(lists.groupBy("h1", "h2").agg(F.first("sids").alias("sids"), F.first("sizes").alias("sizes")).select(F.monotonically_increasing_id().alias("lid"), "sids", "sizes"), "lists")
+    lists = packed.repartition(owners, "owner").mapInArrow(_lists(PART_SETS), _LIST)
+    lists = lists.groupBy("h1", "h2", "part").agg(*[F.first(c).alias(c) for c in ("hub", "hub_n", "prev", "prev_n", "sids", "sizes")])
+    lists = cut(lists.select(F.xxhash64("h1", "h2").alias("lid"), "hub", "hub_n", "prev", "prev_n", "sids", "sizes"), "lists")  # lists of one lid by chance only add candidates
 
-    wanted = lists.select(F.explode("sids").alias("sid")).distinct().join(kinds.select("sid", "tk"), "sid")
-    wanted = cut(wanted, "wanted")
+    wanted = lists.select(F.explode("sids").alias("sid")).distinct().join(kinds.select("sid", "of"), "sid")
+    wanted = cut(wanted.select("sid", F.col("of.tk").alias("of_tk"), F.col("of.id").alias("of_id")), "wanted")
     n_wanted = wanted.count()
-    sets = rows.join(fitting(wanted.select("tk", "sid"), n_wanted, 24), "tk").select("text", "sid").mapInArrow(_sets(n, salt), "sid long, shingles binary, sketch binary")
-    sets = cut(sets.groupBy("sid").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")), "shingles")
+    one = rows.join(fitting(wanted, n_wanted, 32), (F.col("tk") == F.col("of_tk")) & F.col("id").eqNullSafe(F.col("of_id")))  # one row of each set
+    sets = one.select("text", "sid").mapInArrow(_sets(n, salt), "sid long, words binary, sketch binary")
+    sets = cut(sets.groupBy("sid").agg(F.first("words").alias("words"), F.first("sketch").alias("sketch")), "words")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs that are similar.  A set verified against many is sent once for each share of them."""
-        shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 512).cast("int").alias("shares"))
+        shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE_SETS).cast("int").alias("shares"))
         salted = pairs.join(shares, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("shares")).alias("part"))
-        left = salted.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b")
-        right = shares.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a").select("a", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares").cast("long") - 1)).alias("part"))
-        return left.join(right, ["a", "part"]).select("a", "b", "x", "y").mapInArrow(_verify(num, den), "u long, v long")
+        left = salted.join(sets.select(F.col("sid").alias("b"), "words"), "b").select("a", "part", "b", "words")
+        right = shares.join(sets.select(F.col("sid").alias("a"), "words"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares").cast("long") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "words")
+        return left.union(right).repartition("a", "part").sortWithinPartitions("a", "part", "b").select("a", "b", "words").mapInArrow(_verify(n, num, den), "u long, v long")
 
-    tried = cut(lists.select("sids", "sizes").mapInArrow(_first_pairs(num, den), "a long, b long").distinct(), "pairs")
+    tried = cut(lists.select("hub", "hub_n", "prev", "prev_n", "sids", "sizes").mapInArrow(_first_pairs(num, den), "a long, b long").distinct(), "pairs")
     links = cut(verified(tried), "verified")
     roots = components(links)
     members = lists.select("lid", F.explode(F.arrays_zip("sids", "sizes")).alias("m")).select("lid", F.col("m.sids").alias("sid"), F.col("m.sizes").alias("n"))
     members = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("lid", F.coalesce("root", "sid").alias("root"), "sid", "n")
     mixed = members.groupBy("lid").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("lid")
-    mixed = members.join(mixed, "lid").join(sets.select("sid", "sketch"), "sid").groupBy("lid").agg(F.collect_list(F.struct("root", "sid", "n", "sketch")).alias("members"))
-    rest = cut(mixed.select("members").mapInArrow(_cross_pairs(num, den), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"), "rest")
+    members = cut(members.join(mixed, "lid", "left_semi"), "members")
+    rest = _cells(members).join(sets.select("sid", "sketch"), "sid").groupBy("lid", "i", "j").agg(F.collect_list(F.struct("block", "root", "sid", "n", "sketch")).alias("members"))
+    rest = rest.select((F.col("i") == F.col("j")).alias("own"), "members").mapInArrow(_cross_pairs(num, den), "a long, b long")
+    rest = cut(rest.distinct().join(tried, ["a", "b"], "left_anti"), "rest")
     more = cut(verified(rest), "verified")
     links = links.union(more)
     if not more.isEmpty():

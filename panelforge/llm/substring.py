@@ -9,13 +9,14 @@ less than the count of any window it stands for.
    sketches are merged cell by cell, and one bit a cell ("at least two") is kept.
 2. A second pass keeps the windows whose anchor the sketch estimates at two or
    more.  No repeated window is lost; most others are never shuffled.
-3. The windows kept are grouped exactly, by a 128-bit hash of their words, at
-   the task that owns their anchor.  Windows that occur again are sent back to
-   their texts as runs of positions, and the covered words are removed.
+3. The windows kept travel as runs, the words of all windows in a row that share an anchor, to the
+   task that owns the anchor.  There equal runs become one, and windows are grouped by a hash and
+   compared word by word, so that only windows of the same words count as repeated.  Those that
+   occur again are sent back to their texts as positions, and the covered words are removed.
 
-Rows of one text are handled as one: what is exchanged carries a 128-bit text key
-and, after merging inside a task, whether the text was met more than once.  So a
-group of copies costs one entry a task, not one a row.
+Rows of one text are handled as one: what is exchanged carries a 128-bit text key (of SHA-256)
+and, after merging inside a task, whether the run was met more than once.  So a
+group of copies, or a passage inside many texts, costs one entry a task, not one a row.
 
 The sketch has ``cells`` cells, about eight for each expected anchor, between 2**20 and
 ``max_cells``; its bits are the only data sent to all tasks (2 * cells / 8 bytes,
@@ -43,8 +44,8 @@ from ._spark import small_batches, table, trimmed
 WINDOW, ANCHOR = 35, 8
 DEPTH, SHARDS = 2, 64
 MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 29
-#: Entries that a task gathers before it merges and sends them on.
-FLUSH_WORDS = 8_000_000
+#: Anchors that a task counts, and bytes of runs that it gathers, before it sends them on.
+FLUSH_ANCHORS, FLUSH_BYTES = 2_000_000, 24 << 20
 #: Text behind the windows that one task groups, about.
 TASK_BYTES = 32 << 20
 _POS = np.uint64((1 << 24) - 1)
@@ -95,7 +96,7 @@ def _sketch(window: int, k: int, cells: int):
                 if len(pos):
                     gathered.append(g[pos[np.flatnonzero(np.diff(pos, prepend=-1))]])
                     size += len(gathered[-1])
-            if size > FLUSH_WORDS // 4:
+            if size > FLUSH_ANCHORS:
                 yield flush(gathered)
                 gathered, size = [], 0
         if size:
@@ -118,118 +119,136 @@ def _merge(cells: int):
     return run
 
 
-def _first_and_again(w: np.ndarray, again: np.ndarray):
-    """For 128-bit values: which are the first of their kind, and which occur twice (or are marked so anywhere)."""
-    order = np.lexsort((np.arange(len(w)), w[:, 1], w[:, 0]))
-    s = w[order]
-    new = np.ones(len(w), bool)
-    new[1:] = (s[1:] != s[:-1]).any(axis=1)
-    group = np.cumsum(new) - 1
-    often = (np.bincount(group) > 1) | (np.bincount(group, weights=again[order]) > 0)
-    first, hit = np.zeros(len(w), bool), np.zeros(len(w), bool)
-    first[order[new]] = True
-    hit[order] = often[group]
-    return first, hit
-
-
 def _packed(flags: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     cuts = np.cumsum(sizes)
     return [np.packbits(flags[z - n : z]).tobytes() for z, n in zip(cuts.tolist(), sizes.tolist(), strict=True)]
 
 
-_RUN = [("owner", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("bits", pa.binary()), ("hashes", pa.binary())]
-_RUN_SQL = "owner long, k1 long, k2 long, first int, n int, bits binary, hashes binary"
+_RUN = [("owner", pa.int64()), ("text_key", pa.binary()), ("first", pa.int32()), ("n", pa.int32()), ("again", pa.bool_()), ("words", pa.binary())]
+_RUN_SQL = "owner long, text_key binary, first int, n int, again boolean, words binary"
 
 
 def _suspects(window: int, k: int, cells: int, bits):
     """Runs of windows whose anchor may be repeated.
 
-    Windows seen twice inside the task are decided here; of equal ones only the
-    first goes on to the owner of the anchor, so a passage that most texts hold
-    reaches it once a task.
+    A run that a task meets twice is repeated as a whole: its holders know at once (no words go with
+    them), and its words reach the owner of the anchor once, marked, without a holder.
     """
 
-    def flush(texts):
-        keys, anchors, firsts, blobs, again = [], [], [], [], []
-        for key, (times, runs) in texts.items():
-            for anchor, first, hashes in runs:
-                keys.append(key)
-                anchors.append(anchor)
-                firsts.append(first)
-                blobs.append(hashes)
-                again.append(times > 1)
-        sizes = np.array([len(x) >> 4 for x in blobs])
-        w = np.frombuffer(b"".join(blobs), dtype="<u8").reshape(-1, 2)
-        run = np.repeat(np.arange(len(sizes)), sizes)
-        new, hit = _first_and_again(w, np.array(again)[run])
-        send = np.bincount(run[new], minlength=len(sizes)) > 0
-        k1, k2 = np.array(keys, dtype=np.int64).T
-        columns = [np.where(send, np.array(anchors, dtype=np.int64), k1), k1, k2, np.array(firsts, dtype=np.int32), sizes.astype(np.int32), _packed(hit, sizes), [x if y else None for x, y in zip(blobs, send.tolist(), strict=True)]]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _RUN, strict=True)], names=[n for n, _ in _RUN])
+    def flush(runs, texts):
+        rows = []
+        for (anchor, words), holders in runs.items():
+            again = len(holders) > 1 or texts[holders[0][0]] > 1
+            n = holders[0][2]
+            if again:
+                rows += [(int.from_bytes(key[:8], "little", signed=True), key, first, n, True, None) for key, first, _ in holders]
+            key, first, _ = holders[0]
+            rows.append((anchor, None if again else key, first, n, again, words))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _RUN, strict=True)], names=[n for n, _ in _RUN])
 
     @trimmed
     def run(batches):
         sketch = bits.value
-        texts: dict = {}
+        runs: dict = {}  # (anchor, words): text key, first word and windows of each holder
+        texts: dict = {}  # rows of each text met
         size = 0
         for b in batches:
             data, offs = wd.text_buffer(b.column(0))
-            k1, k2 = b.column(1).to_pylist(), b.column(2).to_pylist()
+            keys = b.column(1).to_pylist()
             for i, j in wd.chunks(offs):
                 d, starts, ends, at = wd.split(data, offs[i : j + 1], wd.NON_SPACE)
-                h = wd.word_hashes(d, starts, ends)
-                row, where, pos, g = _anchors(h, at, window, k)
+                row, where, pos, g = _anchors(wd.word_hashes(d, starts, ends), at, window, k)
                 if not len(pos):
                     continue
-                new = np.flatnonzero(np.diff(pos, prepend=-1))
+                new = np.flatnonzero((np.diff(pos, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
                 stop = np.append(new[1:], len(pos))
                 maybe = np.ones(len(new), bool)
                 for r, c in enumerate(_cells(g[pos[new]], cells)):
                     maybe &= ((sketch[r * (cells >> 3) + (c >> 3)] >> (7 - (c & 7)).astype(np.uint8)) & 1).astype(bool)
                 new, stop = new[maybe], stop[maybe]
-                pairs = np.stack([wd.grams(h, window, 0), wd.grams(wd.mix64(h), window, 1)], axis=1)
-                rows = row[new]
-                edge = np.flatnonzero(np.diff(rows, prepend=-1, append=-2)) if len(rows) else np.zeros(1, int)
-                for e, f in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                    x = int(rows[e])
-                    key = (k1[i + x], k2[i + x])
-                    if key in texts:
-                        texts[key][0] += 1
+                if not len(new):
+                    continue
+                words, begin, end = wd.plain(d, starts, ends, wd.NON_SPACE)
+                words, last = words.tobytes(), where[new] + (stop - new) + window - 2
+                known: set = set()
+                x = -1
+                for r, anchor, a, n, p, q in zip(row[new].tolist(), g[pos[new]].view(np.int64).tolist(), where[new].tolist(), (stop - new).tolist(), begin[where[new]].tolist(), end[last].tolist(), strict=True):
+                    if r != x:
+                        x, key = r, keys[i + r]
+                        texts[key] = texts.get(key, 0) + 1
+                        if texts[key] > 1:
+                            known.add(r)
+                    if r in known:
                         continue
-                    texts[key] = [1, [(int(g[pos[a]].view(np.int64)), int(where[a] - at[x]), pairs[where[a] : where[a] + z - a].tobytes()) for a, z in zip(new[e:f].tolist(), stop[e:f].tolist(), strict=True)]]
-                    size += int((stop[e:f] - new[e:f]).sum())
-            if size > FLUSH_WORDS // 8:
-                yield flush(texts)
-                texts, size = {}, 0
-        if texts:
-            yield flush(texts)
+                    runs.setdefault((anchor, words[p:q]), []).append((key, a - int(at[r]), n))
+                    size += q - p
+            if size > FLUSH_BYTES:
+                yield flush(runs, texts)
+                runs, texts, size = {}, {}, 0
+        if runs:
+            yield flush(runs, texts)
 
     return run
 
 
-@trimmed
-def _repeats(batches):
-    """Exact counts of the windows at the task that owns their anchors; runs with a repeated window, as bitmaps."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    t = pa.Table.from_batches(parts)
-    sent = t.filter(t.column(6).is_valid())
-    done = t.filter(t.column(6).is_null()).select([1, 2, 3, 4, 5])
-    yield from done.to_batches()
-    if not sent.num_rows:
-        return
-    data, offs = wd.text_buffer(sent.column(6))
-    sizes = np.diff(offs) >> 4
-    w = np.frombuffer(data[offs[0] : offs[-1]].tobytes(), dtype="<u8").reshape(-1, 2)
-    marks, at = wd.text_buffer(sent.column(5))
-    bits = np.unpackbits(marks[at[0] : at[-1]])
-    again = bits[wd.ranges((at[:-1] - at[0]) * 8, sizes)].astype(bool)
-    _, hit = _first_and_again(w, again)
-    run = np.repeat(np.arange(len(sizes)), sizes)
-    keep = np.flatnonzero(np.bincount(run[hit], minlength=len(sizes)) > 0)
-    out = sent.select([1, 2, 3, 4]).append_column("bits", pa.array(_packed(hit, sizes), pa.binary()))
-    yield from out.take(pa.array(keep)).to_batches()
+def _equal_windows(d: np.ndarray, offs: np.ndarray, window: int):
+    """Of distinct runs: how many windows each has, and which windows have the words of another window (its own run's included)."""
+    d, starts, ends, at = wd.split(d, offs, wd.NON_SPACE)
+    count, where = wd.gram_rows(at, window)
+    h = wd.grams(wd.word_hashes(d, starts, ends), window)[where]
+    order = np.argsort(h, kind="stable")
+    s = h[order]
+    new = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
+    shared = ~new | ~np.append(new[1:], True) if len(s) else new
+    order, new = order[shared], new[shared]
+    out = np.zeros(len(h), bool)
+    if len(order):
+        ids, _ = wd.word_ids(d, starts, ends)
+        mine = where[order]
+        lead = mine[np.flatnonzero(new)[np.cumsum(new) - 1]]  # the first window with this hash
+        same = np.ones(len(order), bool)
+        for j in range(window):
+            same &= ids[mine + j] == ids[lead + j]
+        if same.all():
+            out[order] = True
+        else:  # different words under one hash: group by the words
+            kinds: dict[bytes, list[int]] = {}
+            for w, a in zip(order.tolist(), mine.tolist(), strict=True):
+                kinds.setdefault(ids[a : a + window].tobytes(), []).append(w)
+            for group in kinds.values():
+                out[group] = len(group) > 1
+    return count, out
+
+
+def _repeats(window: int):
+    """At the task that owns their anchors: the positions of repeated windows, as bitmaps (null: all of the run)."""
+
+    @trimmed
+    def run(batches):
+        sent = []
+        for b in batches:
+            waiting = b.column(5).is_valid()
+            done = b.filter(b.column(5).is_null())
+            if done.num_rows:
+                yield pa.RecordBatch.from_arrays([*done.columns[1:4], pa.nulls(done.num_rows, pa.binary())], names=["text_key", "first", "n", "bits"])
+            if done.num_rows < b.num_rows:
+                sent.append(b.filter(waiting))
+        if not sent:
+            return
+        t = pa.Table.from_batches(sent)
+        coded = t.column(5).cast(pa.large_binary()).combine_chunks().dictionary_encode()
+        kind = np.asarray(coded.indices)
+        times = np.bincount(kind) + np.bincount(kind, weights=np.asarray(t.column(4).combine_chunks()).astype(np.int64))  # runs met again count twice
+        data, offs = wd.text_buffer(coded.dictionary)
+        count, hit = _equal_windows(data, offs, window)
+        any_hit = np.bincount(np.repeat(np.arange(len(count)), count)[hit], minlength=len(count)) > 0
+        packed = _packed(hit, count)
+        out = [(key, first, n, None if times[c] > 1 else packed[c]) for key, first, n, c in zip(t.column(1).to_pylist(), t.column(2).to_pylist(), t.column(3).to_pylist(), kind.tolist(), strict=True) if key is not None and (times[c] > 1 or any_hit[c])]
+        for a in range(0, len(out), 10_000):
+            keys, firsts, ns, bitmaps = zip(*out[a : a + 10_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(firsts, pa.int32()), pa.array(ns, pa.int32()), pa.array(bitmaps, pa.binary())], names=["text_key", "first", "n", "bits"])
+
+    return run
 
 
 def _strip(window: int):
@@ -248,7 +267,7 @@ def _strip(window: int):
                 if runs:
                     edge = np.zeros(len(words) + 1, np.int32)
                     for r in runs:
-                        at = r["first"] + np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8))[: r["n"]])
+                        at = r["first"] + (np.arange(r["n"]) if r["bits"] is None else np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8))[: r["n"]]))
                         np.add.at(edge, at, 1)
                         np.add.at(edge, at + window, -1)
                     gone = np.cumsum(edge[:-1]) > 0
@@ -274,8 +293,8 @@ def remove_repeats(docs: DataFrame, keep: list[Column], text_col: str = "text",
     expected = size / 6 * 2 / (window - k + 2)  # words, and the share of positions that are anchors
     cells = 1 << min(max(math.ceil(math.log2(expected * 8 + 1)), int(math.log2(MIN_CELLS))), int(math.log2(max_cells)))
 
-    rows = docs.select(F.struct(*keep).alias("row"), text, F.xxhash64(text_col).alias("k1"), F.xxhash64(F.lit(1), text_col).alias("k2"))
-    long_enough = rows.where(F.length("text") >= 2 * window - 1).select("text", "k1", "k2")
+    rows = docs.select(F.struct(*keep).alias("row"), text, F.substring(F.unhex(F.sha2(text_col, 256)), 1, 16).alias("text_key"))
+    long_enough = rows.where(F.length("text") >= 2 * window - 1).select("text", "text_key")
     merged = long_enough.select("text").mapInArrow(_sketch(window, k, cells), "shard int, cells binary, twice binary").groupBy("shard").applyInPandas(_merge(cells), "shard int, bits binary")
     sketch = np.zeros(DEPTH * cells >> 3, np.uint8)
     part = cells // SHARDS >> 3
@@ -285,10 +304,10 @@ def remove_repeats(docs: DataFrame, keep: list[Column], text_col: str = "text",
 
     runs = long_enough.mapInArrow(_suspects(window, k, cells, bits), _RUN_SQL)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / TASK_BYTES))
-    found = runs.repartition(parts, "owner").mapInArrow(_repeats, "k1 long, k2 long, first int, n int, bits binary")
-    hits = found.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n", "bits")).alias("hits"))  # one text's runs
+    found = runs.repartition(parts, "owner").mapInArrow(_repeats(window), "text_key binary, first int, n int, bits binary")
+    hits = found.distinct().groupBy("text_key").agg(F.collect_list(F.struct("first", "n", "bits")).alias("hits"))  # one text's runs
     kind = rows.schema["row"].dataType.simpleString()
-    joined = rows.join(hits, ["k1", "k2"], "left").select("row", "text", "hits")
+    joined = rows.join(hits, "text_key", "left").select("row", "text", "hits")
     return joined.mapInArrow(_strip(window), f"row {kind}, n_words long, n_removed long, kept_text string, removed array<array<int>>")
 
 

@@ -29,3 +29,29 @@ def words():
         return sep.join(f"w{start + i}x" for i in range(n))
 
     return make
+
+
+@pytest.fixture(scope="session")
+def alike():
+    """Two words of 1,024 letters that a polynomial hash modulo 2**64 can't tell apart (a Thue-Morse word and its complement)."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.fixture
+def twins(monkeypatch):
+    """Two words that have one hash in this process for as long as the test runs."""
+    from panelforge.llm import _words as wd
+
+    honest = wd.word_hashes
+
+    def weak(d, starts, ends, fold=wd.SAME):
+        out = honest(d, starts, ends, fold)
+        if len(starts):
+            out[d[starts] == ord("0")] = 1
+        return out
+
+    monkeypatch.setattr(wd, "word_hashes", weak)
+    return "0one", "0two"

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelforge.llm import jaccard
@@ -145,3 +146,48 @@ def test_join_gives_every_link(spark, docs_of, words, monkeypatch, block):
     found = [tuple(sorted((named[r.u], named[r.v]))) for r in pairs.collect()]
     assert len(found) == len(set(found)) and set(found) == want
     assert {r.doc_id: (r.class_id, r.n_links) for r in got} == {i: (first[i], sum(first[i] in p for p in want)) for i in range(len(rows))}
+
+
+def test_words_that_a_weak_hash_confuses(spark, docs_of, words, alike):
+    a, b = alike
+    rows = [(0, a, "en", "s"), (1, b, "en", "s"), (2, a, "en", "s"), (3, f"{a} " + words(0, 3), "en", "s"), (4, f"{b} " + words(0, 3), "en", "s")]
+    got, _ = jaccard_components(docs_of(rows))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute(rows, 3, 90, 100)
+
+
+def test_words_decide_not_their_hashes(words, twins):
+    a, b = twins
+    texts = [f"{a} " + words(0, 30), f"{b} " + words(0, 30), f"{a} " + words(0, 30), a, b, f"{a} {a}", words(0, 1)]
+    sets = jaccard.exact_sets(pa.array([t.encode() for t in texts]), 3)
+    for x, s in zip(texts, sets, strict=True):
+        for y, t in zip(texts, sets, strict=True):
+            assert len(np.intersect1d(s, t)) == len(shingles(x, 3) & shingles(y, 3))
+    batch = pa.record_batch([pa.array([1] * 3), pa.array([None, 2, 3]), pa.array([texts[i].encode() for i in range(3)])], names=["a", "b", "words"])
+    (out,) = jaccard._verify(3, 95, 100)([batch])
+    assert out.column(1).to_pylist() == [3]
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5, 9])
+def test_numbers_of_shingles(k):
+    """Also where the numbers outgrow 62 bits and are made small again."""
+    from panelforge.llm._words import gram_ids
+
+    rng = np.random.default_rng(k)
+    ids = rng.integers(0, 4, 400) + (1 << 29)
+    for kinds in (1 << 30, int(ids.max()) + 1):
+        got = gram_ids(ids, kinds, k).tolist()
+        want = [tuple(ids[i : i + k].tolist()) for i in range(400 - k + 1)]
+        assert len(got) == len(want) and len(set(got)) == len(set(want)) == len(set(zip(got, want, strict=True)))
+
+
+@pytest.mark.parametrize("size", [4096, 5])
+def test_long_lists_in_parts_and_cells(spark, docs_of, words, monkeypatch, size):
+    """Groups of near copies beyond a part of a list and a block of it."""
+    monkeypatch.setattr(jaccard, "PART_SETS", size)
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", size)
+    monkeypatch.setattr(jaccard, "SHARE_SETS", size)
+    rng = random.Random(size)
+    texts = [t for f, (n, members) in enumerate([(40, 45), (24, 30), (150, 20)]) for t in family(rng, f * 10_000, n, members, 4, words)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    got, _ = jaccard_components(docs_of(rows))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr) == brute(rows, 3, 90, 100)

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,7 +27,8 @@ def brute(rows, window):
 @pytest.mark.parametrize(("cells", "flush"), [(1 << 20, 8_000_000), (1 << 9, 2000)])
 def test_against_brute_force(spark, docs_of, words, monkeypatch, cells, flush):
     """Also with a sketch so full that it lets everything through, and with many small flushes."""
-    monkeypatch.setattr(substring, "FLUSH_WORDS", flush)
+    monkeypatch.setattr(substring, "FLUSH_ANCHORS", flush)
+    monkeypatch.setattr(substring, "FLUSH_BYTES", flush)
     monkeypatch.setattr(substring, "MIN_CELLS", 1 << 9)
     rng = random.Random(6)
     passage = words(0, 60)
@@ -52,3 +54,23 @@ def test_sketch_never_loses_a_repeat(spark, docs_of):
     rows = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(0, 60))), "en", "s") for i in range(60)]
     out = remove_repeats(docs_of(rows), [F.col("doc_id")], window=12, k=4).select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)).collect()
     assert sorted(map(tuple, out), key=repr) == brute(rows, 12)
+
+
+def test_words_that_a_weak_hash_confuses(spark, docs_of, words, alike):
+    rows = [(i, f"{a} " + words(0, 34), "en", "s") for i, a in enumerate(alike)] + [(2, alike[0] + " " + words(50, 40), "en", "s"), (3, alike[0] + " " + words(50, 40), "en", "s")]
+    out = remove_repeats(docs_of(rows), [F.col("doc_id")]).select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)).collect()
+    assert sorted(map(tuple, out)) == brute(rows, 35)
+
+
+def test_words_decide_not_their_hashes(words, twins):
+    """Runs whose windows have one hash and different words, at the task that owns their anchor."""
+    a, b = twins
+    runs = [words(0, 20) + f" {a} " + words(30, 20), words(0, 20) + f" {b} " + words(30, 20), words(60, 40) + f" {a}", words(59, 41) + f" {b}", words(59, 41) + f" {b} {a}"]
+    batch = pa.record_batch([pa.array([1] * 5), pa.array([bytes([i]) for i in range(5)]), pa.array([0] * 5, pa.int32()), pa.array([len(r.split()) - 34 for r in runs], pa.int32()), pa.array([False] * 5), pa.array([r.encode() for r in runs])], names=["owner", "text_key", "first", "n", "again", "words"])
+    found = {}
+    for out in substring._repeats(35)([batch]):
+        for key, first, n, bits in zip(*[c.to_pylist() for c in out.columns], strict=True):
+            found[key[0]] = [i for i in range(n) if bits is None or bits[i // 8] >> (7 - i % 8) & 1]
+    seen = Counter(tuple(r.split()[i : i + 35]) for r in runs for i in range(len(r.split()) - 34))
+    want = {x: [i for i in range(len(r.split()) - 34) if seen[tuple(r.split()[i : i + 35])] > 1] for x, r in enumerate(runs)}
+    assert found == {x: hits for x, hits in want.items() if hits}
