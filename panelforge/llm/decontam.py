@@ -23,21 +23,18 @@ benchmark hits nothing.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
+from ._filter import FILTER_BITS, bloom, may_hold
 from ._spark import cut, fitting, small_batches, table, trimmed
 
 WINDOW, K = 10, 5
 #: Bytes of benchmark text that every worker may hold as an index.
 INDEX_BYTES = 8 << 20
-#: Bits of the Bloom filter of a larger benchmark's fingerprints: 16 for each, at most.
-FILTER_BITS = 1 << 28
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -189,11 +186,7 @@ def _contexts(window: int, k: int, lengths: tuple[int, ...] | None, bits=None):
     reach = window - k
 
     def wanted(prints):
-        ok = np.ones(len(prints), bool)
-        if bits is not None:
-            for c in _filter_cells(prints, len(bits.value) << 3):
-                ok &= ((bits.value[c >> 3] >> (c & 7).astype(np.uint8)) & 1).astype(bool)
-        return np.flatnonzero(ok)
+        return np.arange(len(prints)) if bits is None else np.flatnonzero(may_hold(bits.value, prints))
 
     @trimmed
     def run(batches):
@@ -232,10 +225,6 @@ def _contexts(window: int, k: int, lengths: tuple[int, ...] | None, bits=None):
     return run
 
 
-def _filter_cells(prints: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(wd.mix64(prints ^ np.uint64(0x94D049BB133111EB + r)) & np.uint64(bits - 1)).astype(np.int64) for r in range(2)]
-
-
 def _extend(window: int):
     """From joined fingerprints: the spans of texts whose words agree with the item's."""
 
@@ -287,20 +276,7 @@ def _joined(found: DataFrame, items: DataFrame, window: int, k: int) -> DataFram
     prints = cut(items.select("id", "text").mapInArrow(_contexts(window, k, None), _PRINTS.format("string")), "prints")
     lengths = tuple(sorted(r[0] for r in prints.where("whole > 0").select("whole").distinct().collect()))  # below ``window``
     n = prints.count()
-    size = min(max(1 << math.ceil(math.log2(16 * n + 1)), 1 << 10), FILTER_BITS)
-
-    @trimmed
-    def filled(batches):
-        for b in batches:
-            cells = np.unique(np.concatenate(_filter_cells(np.asarray(b.column(0)).view(np.uint64), size)))
-            word, first = np.unique(cells >> 6, return_index=True)
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (cells & 63).astype(np.uint64), first) if len(cells) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits.view(np.int64))], names=["word", "bits"])
-
-    words = prints.select("print").mapInArrow(filled, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # FILTER_BITS / 64 rows at most
-    filter_bits = np.zeros(size >> 6, np.int64)
-    filter_bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    bits = spark.sparkContext.broadcast(filter_bits.view(np.uint8))
+    bits = bloom(prints.select("print"), n, most=FILTER_BITS)
     keyed = found.select("row", "text", F.substring(F.unhex(F.sha2("text", 256)), 1, 16).alias("text_key"))
     own = keyed.where("text_key IS NOT NULL").select("text_key", "text").mapInArrow(_contexts(window, k, lengths, bits), _PRINTS.format("binary"))
     own = own.select("print", F.col("of").alias("text_key"), "pos", "before", "whole", "words")

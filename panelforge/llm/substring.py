@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import small_batches, table, trimmed
+from ._filter import FILTER_BITS, bloom, may_hold
+from ._spark import BROADCAST_BYTES, cut, small_batches, table, trimmed
 
 WINDOW, ANCHOR = 35, 8
 DEPTH, SHARDS = 2, 64
@@ -305,10 +306,30 @@ def remove_repeats(docs: DataFrame, keep: list[Column], text_col: str = "text",
     runs = long_enough.mapInArrow(_suspects(window, k, cells, bits), _RUN_SQL)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / TASK_BYTES))
     found = runs.repartition(parts, "owner").mapInArrow(_repeats(window), "text_key binary, first int, n int, bits binary")
-    hits = found.distinct().groupBy("text_key").agg(F.collect_list(F.struct("first", "n", "bits")).alias("hits"))  # one text's runs
-    kind = rows.schema["row"].dataType.simpleString()
-    joined = rows.join(hits, "text_key", "left").select("row", "text", "hits")
-    return joined.mapInArrow(_strip(window), f"row {kind}, n_words long, n_removed long, kept_text string, removed array<array<int>>")
+    hits = cut(found.distinct().groupBy("text_key").agg(F.collect_list(F.struct("first", "n", "bits")).alias("hits")), "hits")  # one text's runs
+    bits.destroy()
+    return _joined(rows, hits).mapInArrow(_strip(window), f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept_text string, removed array<array<int>>")
+
+
+def _joined(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """row, text and hits of every row.  Only texts that a filter of the hit ones lets through are shuffled, and none if the hits fit a broadcast."""
+    n, size = hits.agg(F.count(F.lit(1)), F.sum(F.size("hits") * 64 + 64)).first()
+    if (size or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(hits), "text_key", "left").select("row", "text", "hits")
+    keys = bloom(hits.select(F.conv(F.hex(F.substring("text_key", 1, 7)), 16, 10).cast("long")), n, each=8, most=FILTER_BITS)
+
+    def sifted(pick: bool):
+        @trimmed
+        def run(batches):
+            for b in batches:
+                raw = b.column(2).fill_null(bytes(16)).cast(pa.binary())
+                first = np.frombuffer(b"".join(x[6::-1] + b"\0" for x in raw.to_pylist()), "<u8")
+                yield b.filter(pa.array(may_hold(keys.value, first) == pick))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    touched = sifted(True).join(hits, "text_key", "left").select("row", "text", "hits")
+    return touched.union(sifted(False).select("row", "text", F.lit(None).cast(hits.schema["hits"].dataType).alias("hits")))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
