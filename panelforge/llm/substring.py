@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import _words as wd
 from ._filter import FILTER_BITS, bloom, may_hold
-from ._spark import BROADCAST_BYTES, cut, small_batches, table, trimmed
+from ._spark import cut, small_batches, table, trimmed
 
 WINDOW, ANCHOR = 35, 8
 DEPTH, SHARDS = 2, 64
@@ -312,11 +312,8 @@ def remove_repeats(docs: DataFrame, keep: list[Column], text_col: str = "text",
 
 
 def _joined(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """row, text and hits of every row.  Only texts that a filter of the hit ones lets through are shuffled, and none if the hits fit a broadcast."""
-    n, size = hits.agg(F.count(F.lit(1)), F.sum(F.size("hits") * 64 + 64)).first()
-    if (size or 0) <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(hits), "text_key", "left").select("row", "text", "hits")
-    keys = bloom(hits.select(F.conv(F.hex(F.substring("text_key", 1, 7)), 16, 10).cast("long")), n, each=8, most=FILTER_BITS)
+    """row, text and hits of every row; only texts that a filter of the hit ones lets through are shuffled."""
+    keys = bloom(hits.select(F.conv(F.hex(F.substring("text_key", 1, 7)), 16, 10).cast("long")), hits.count(), each=8, most=FILTER_BITS)
 
     def sifted(pick: bool):
         @trimmed
@@ -328,7 +325,7 @@ def _joined(rows: DataFrame, hits: DataFrame) -> DataFrame:
 
         return rows.mapInArrow(run, rows.schema)
 
-    touched = sifted(True).join(hits, "text_key", "left").select("row", "text", "hits")
+    touched = sifted(True).join(hits.hint("merge"), "text_key", "left").select("row", "text", "hits")
     return touched.union(sifted(False).select("row", "text", F.lit(None).cast(hits.schema["hits"].dataType).alias("hits")))
 
 
