@@ -4,17 +4,17 @@ Characters are lower-cased; everything that is not a letter becomes one blank,
 so numbers, punctuation and layout carry no language.  N-grams of 1 to 3
 characters are hashed into ``BUCKETS``; a text's score for a language is the sum of
 the smoothed log-probabilities of all its n-grams plus the log prior.  The matrix
-(languages x BUCKETS, bounded by ``MAX_LANGS``) is sent to the workers, which score
+(languages x buckets, ``MAX_CELLS`` at most: with over 512 languages buckets are merged in pairs until it fits) is sent to the workers, which score
 batches of whole texts as sparse sums in numpy.
 
 Training counts every n-gram of all labelled texts given: tasks emit their
-non-zero (language, bucket) cells and a native sum merges them, so what reaches
-the driver is at most ``MAX_LANGS * BUCKETS`` cells.
+non-zero (language, bucket) cells and a native sum merges them and the buckets, so what reaches
+the driver is at most ``MAX_CELLS`` cells.
 
 A null text, or one without a letter, is ``und`` with score 0; without training
 rows every text is.  Ties go to the smallest language name.  Repeated rows get
 repeated results, and an empty table an empty result.  Labels, sources and ids
-are never inputs of a prediction.
+are never inputs of a prediction.  Marks that are no letters, as vowel signs of Indic scripts, count as blanks.
 """
 
 from __future__ import annotations
@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 from ._spark import cut, small_batches, table, trimmed
 
 BUCKETS = 1 << 15
-MAX_LANGS = 500
+#: Cells of the matrix (4 bytes each), at most, and the fewest buckets.
+MAX_CELLS, MIN_BUCKETS = 1 << 24, 1 << 6
+#: Languages that a task counts at a time.
+HELD_LANGS = 256
 #: Weight of a count that no text has, for smoothing.
 ALPHA = 0.5
 _END = 0xFFFF
@@ -94,24 +97,32 @@ def _blocks(texts: list[str | None], most: int = 1 << 20):
 def _count(batches):
     totals: dict[str, np.ndarray] = {}
     n_texts: dict[str, int] = {}
+
+    def flush():
+        for lang, counts in totals.items():
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(counts[at], n_texts[lang]))], names=["lang", "bucket", "n"])
+        totals.clear()
+        n_texts.clear()
+
     for b in batches:
         langs = np.asarray(b.column(0).to_pylist(), dtype=object)
         texts = b.column(1).to_pylist()
-        for lang in set(langs.tolist()):
+        for lang in sorted(set(langs.tolist())):
+            if lang not in totals and len(totals) >= HELD_LANGS:
+                yield from flush()
             own = [texts[i] for i in np.flatnonzero(langs == lang)]
             n_texts[lang] = n_texts.get(lang, 0) + len(own)
             into = totals.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
             for i, j in _blocks(own):
                 for h, _, inside in _grams(own[i:j]):
                     into += np.bincount(h[inside], minlength=BUCKETS)
-    for lang, counts in totals.items():
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(counts[at], n_texts[lang]))], names=["lang", "bucket", "n"])
+    yield from flush()
 
 
 class Model:
     def __init__(self, langs: list[str], counts: np.ndarray, texts: np.ndarray):
-        self.langs = langs
+        self.langs, self.mask = langs, np.int32(counts.shape[1] - 1)
         c = counts + ALPHA
         self.logp = np.ascontiguousarray(np.log(c / c.sum(1, keepdims=True)).astype(np.float32).T)
         self.prior = np.log(texts / texts.sum())
@@ -121,7 +132,7 @@ class Model:
         if self.langs:
             for i, j in _blocks(texts):
                 for h, row, inside in _grams([t or "" for t in texts[i:j]]):
-                    h, row = h[inside], row[inside]
+                    h, row = h[inside] & self.mask, row[inside]
                     first = np.flatnonzero(np.diff(row, prepend=-1))
                     if len(first):
                         for k in range(len(self.langs)):
@@ -143,12 +154,14 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     sums = rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     sums = cut(sums, "langid-counts")
-    langs = sorted(r["lang"] for r in sums.where("bucket = -1").select("lang").limit(MAX_LANGS + 1).collect())
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"over {MAX_LANGS} languages: the matrix would have no fixed bound")
+    langs = sorted(r["lang"] for r in sums.where("bucket = -1").select("lang").collect())
+    buckets = BUCKETS
+    while len(langs) * buckets > MAX_CELLS and buckets > MIN_BUCKETS:
+        buckets //= 2
     at = {x: k for k, x in enumerate(langs)}
-    counts, texts = np.zeros((len(langs), BUCKETS)), np.zeros(len(langs))
-    for r in sums.toLocalIterator():
+    counts, texts = np.zeros((len(langs), buckets), np.float32 if len(langs) > 512 else np.float64), np.zeros(len(langs))
+    merged = F.when(F.col("bucket") < 0, F.col("bucket")).otherwise(F.col("bucket") % buckets).alias("bucket")  # buckets are the low bits of a hash
+    for r in sums.groupBy("lang", merged).agg(F.sum("n").alias("n")).toLocalIterator():
         if r["bucket"] < 0:
             texts[at[r["lang"]]] = r["n"]
         else:

@@ -6,7 +6,7 @@ negative, so harmless text cannot outweigh an insult.  The output is the
 expected severity, the sum of P(grade > k) over k, and a decision against a
 threshold between 0.5 and 0.75 chosen on out-of-fold scores of the labelled rows.
 
-The fit uses at most ``MAX_TRAIN`` labelled rows (those whose id hashes lowest) and
+The fit uses at most ``MAX_TRAIN`` distinct labelled rows (those whose id and text hash lowest) and
 the ``MAX_FEATURES`` words most associated with the higher grades; word counts for that
 choice are made on the workers, so the driver sees at most MAX_TRAIN rows of
 MAX_FEATURES flags.  Scoring covers every row and whole texts in one pass
@@ -16,7 +16,8 @@ Words: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.  Null a
 texts have no features and get the severity of the thresholds alone; labels that
 are null or whose id is not in the table are ignored; with fewer than two grades
 among the labels every severity is 0 and nothing is rejected.  Repeated rows get
-repeated results, an empty table an empty result.
+repeated results, and count once for the fit; of several grades for one id all count; ties of scores fall on one
+side of the threshold together (a severity equal to it is kept); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -151,9 +152,10 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
     """``grade``: an integer expression over ``labels``, 0 for clean and larger for worse."""
     small_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade")).where("id IS NOT NULL AND grade IS NOT NULL")
-    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")  # labels of other tables' documents take none of the bound
-    some = known.orderBy(F.xxhash64("id"), "id", "grade").limit(MAX_TRAIN)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(some), "id")  # MAX_TRAIN rows of two numbers
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    known = known.join(texts.select("id", "tk"), "id").distinct()  # labels of other tables' documents, and repeated rows, take none of the bound
+    some = known.orderBy(F.xxhash64("id", "tk"), "id", "tk", "grade").limit(MAX_TRAIN)
+    rows = texts.join(F.broadcast(some), ["id", "tk"]).dropDuplicates(["id", "tk", "grade"])  # MAX_TRAIN rows of three numbers
     rows = cut(rows.select("id", "text", "grade"), "labelled")
     sizes = {r["grade"]: r["count"] for r in rows.groupBy("grade").count().collect()}
     if len(sizes) < 2:
@@ -182,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
             cuts = np.searchsorted(r, np.arange(b.num_rows + 1))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([f[a:z].astype("<u2").tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["id", "grade", "flags"])
 
-    got = sorted(rows.mapInArrow(flagged, "id long, grade int, flags binary").collect(), key=lambda r: (r["id"], r["grade"], bytes(r["flags"])))
+    got = sorted(rows.mapInArrow(flagged, f"id {rows.schema['id'].dataType.simpleString()}, grade int, flags binary").collect(), key=lambda r: (r["id"], r["grade"], bytes(r["flags"])))
     feats = [np.frombuffer(r["flags"], "<u2").astype(np.int64) for r in got]
     at, feats = np.repeat(np.arange(len(got)), [len(f) for f in feats]), np.concatenate(feats)
     y = np.array([rank[r["grade"]] for r in got])
@@ -217,8 +219,9 @@ def score(docs: DataFrame, model: Model, keep: list[Column], text_col: str = "te
 
 
 def severity_grade() -> Column:
-    """Grade of a row of ``labels``, which has two: 0 not toxic, 1 toxic.  The model takes any number of grades."""
-    return F.when(F.col("toxic").isin(0, 1), F.col("toxic"))
+    """Grade of a row of ``labels``: 0 not toxic; 1 toxic in a text of quality; 2 toxic in one without (or of unknown quality)."""
+    toxic = F.when(F.col("quality") == 1, 1).otherwise(2)
+    return F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, toxic)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,13 +13,13 @@ URLs by (order, context, symbol) and emits the cells, which are summed by key, s
 the models grow with the distinct contexts of the corpus and no two share a cell.
 A cell takes 16 bytes on the driver and in a worker; nothing is hashed or left out.
 
-Labels are the caller's (a boolean column expression; null: unlabelled).  The
-query labels by a list of host words that mark rejected sites; the models carry
-that over to hosts spelt otherwise.
+Labels are the caller's (a boolean column expression; null: unlabelled).  Without them the
+URLs that a rule decides are the labels, allowed ones as accepted and blocked ones as rejected, and the
+models carry the rules over to the hosts and paths that no rule names.
 
 Null URL, or one without "://": host and path are empty, no rule fits, and the
 verdict is "allow" for want of evidence.  If one class has no URL the method
-accepts everything.  Repeated rows get repeated verdicts; an empty table gives an
+accepts everything; if the calibration fold lacks one, the threshold is 0.  A score equal to the threshold is allowed.  Repeated rows get repeated verdicts; an empty table gives an
 empty result; other columns of the input are ignored.
 """
 
@@ -42,8 +42,6 @@ FOLDS = 5
 
 Rules = list[tuple[str, str]]
 RULES: Rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
-#: Host words of sites that are rejected as seeds of the second model.
-REJECTED_WORDS = ("adult", "ads", "bet", "bets", "casino", "cheap", "farm", "pills", "porn", "spam", "track", "viagra", "win", "xxx")
 
 _ORDER_BIT = 6 * ORDER
 _CODE = np.full(256, 1, dtype=np.int64)  # other bytes
@@ -187,12 +185,14 @@ def train(urls: DataFrame, text: str, accepted: str) -> UrlModel:
     return final
 
 
-def filter_urls(pages: DataFrame, accepted: Column, rules: Rules, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """id, host, path, rule, verdict, lm_score for every row; ``accepted`` labels URLs by ``host``, ``path`` for training."""
+def filter_urls(pages: DataFrame, rules: Rules, accepted: Column | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """id, host, path, rule, verdict, lm_score for every row; ``accepted`` labels URLs by ``host``, ``path`` for training (by default the rules do)."""
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rows = rows.select("id", "host", "path", F.concat("host", "path").alias("text"))
-    model = train(rows.select("text", F.when(F.col("text") != "", accepted).alias("accepted")), "text", "accepted")
+    ruled = match_rule(F.col("host"), F.col("path"), rules)
+    label = ruled["verdict"] == "allow" if accepted is None else accepted
+    model = train(rows.select("text", F.when(F.col("text") != "", label).alias("accepted")), "text", "accepted")
 
     @trimmed
     def judge(batches):
@@ -201,15 +201,13 @@ def filter_urls(pages: DataFrame, accepted: Column, rules: Rules, id_col: str =
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(score, pa.float64())], names=["id", "host", "path", "lm_score"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    ruled = match_rule(F.col("host"), F.col("path"), rules)
     out = rows.mapInArrow(judge, f"id {kind}, host string, path string, lm_score double").select("*", ruled.alias("ruled"))
     method = F.when((F.col("host") == "") & (F.col("path") == "") | ~F.lit(model.known), "allow").when(F.col("lm_score") >= model.threshold, "allow").otherwise("block")
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("ruled.rule").alias("rule"), F.coalesce("ruled.verdict", method).alias("verdict"), "lm_score")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = "|".join(REJECTED_WORDS)
-    return filter_urls(table(spark, sf_dir, "pages"), ~F.col("host").rlike(rf"(^|[.\-_])({words})([.\-_]|$)"), RULES)
+    return filter_urls(table(spark, sf_dir, "pages"), RULES)
 
 
 QUERIES = {"op1_url_filter": op1_url_filter}

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 import re
 
 import pytest
@@ -26,11 +27,11 @@ def test_messages_give_exact_marginals():
         n, total, content = len(page.parent), 0.0, [0.0] * len(page.parent)
         for states in itertools.product(range(3), repeat=n):
             p = MODEL.root[states[0]]
-            for i in range(n):
-                for f in page.features[i]:
-                    p *= MODEL.features.get(f, (1, 1, 1))[states[i]]
-                if i:
-                    p *= MODEL.child[states[page.parent[i]]][states[i]]
+            for i in range(1, n):
+                text = page.text[i] is not None
+                p *= MODEL.edge(None if text else page.features[i])[states[page.parent[i]]][states[i]]
+                if text:
+                    p *= MODEL.unary(page, i)[states[i]] ** (1 / sum(page.group[j] == page.group[i] and page.text[j] is not None for j in range(n)))
             total += p
             for i in range(n):
                 content[i] += p * (states[i] == 1)
@@ -114,3 +115,120 @@ def test_first_value_of_an_attribute_stays(attrs):
 def test_labels_are_read_in_training_only():
     page = "<div data-y=1><p data-y=0>a</p><p data-year=0>b</p></div>"
     assert parse(page).label == [None, 1, 0, 0, 1, 1] and set(parse(page, labelled=False).label) == {None}
+
+
+S = "A sentence that says something about it."
+
+
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        (f"<article><div class='warning'><p>{S}</p></div><p>{S} Twice.</p></article>", [S, S + " Twice."]),
+        (f"<article><div class='cookie-notice'><p>{S}</p></div><p>{S} Twice.</p></article>", [S + " Twice."]),
+        (f"<article><section class='related-work'><p>{S}</p><p>{LONG}</p></section></article>", [S, LONG.strip()]),
+        ("<article><div>One</div><div>Two words</div></article>", ["One", "Two words"]),
+        ("<article><p>One</p></article>", ["One"]),
+        (f"<article><p>{S}</p><ul><li><a href=a>First link</a><li><a href=b>Second link</a><li><a href=c>Third</a></ul></article>", [S, "First link", "Second link", "Third"]),
+        (f"<article><p><a href=a>Only a link</a></p><p>{S}</p></article>", ["Only a link", S]),
+        (f"<article><p>AT&<b>amp;</b>T and {S}</p></article>", ["AT&amp;T and " + S]),
+        (f"<article><p>AT&amp;T &am<i>p;</i> {S}</p></article>", ["AT&T &amp; " + S]),
+        (f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be. {S}</p></article>", ["Let x=1 be. " + S]),
+        (f"<!--><article><p>{S}</p></article>", [S]),
+        (f"<!---><article><p>{S}</p><!-- a > b --!><p>{S}</p><!----><p>End.</p></article>", [S, S, "End."]),
+        (f"<nav class='menu'><ul><li><a href=a>Home</a><li><a href=b>News</a></ul></nav><article><p class='byline'>By someone</p><p>{S}</p></article><footer>Imprint</footer>", ["By someone", S]),
+        (f"<article><p>{S}</p><div class='ad'><p>{LONG}</p></div><aside class='sidebar'><p>{LONG}</p></aside><section id='comments'><p>{LONG}</p></section><p>{S}</p></article>", [S, S]),
+    ],
+)
+def test_an_article_keeps_all_of_its_text(body, want):
+    assert main_text(body) == want
+    assert main_text(f"<div class='wrapper'>{body}</div>") == want
+
+
+def test_an_article_of_links_alone():
+    assert main_text("<nav><a href=x>Home</a></nav><article><ul><li><a href=a>First</a></li><li><a href=b>Second</a></li></ul></article>") == ["First", "Second"]
+
+
+def other_sites(n, seed):
+    """Another generator than the model's: its own words, tags, nesting and names; blocks of the main text beside each page."""
+    rng = random.Random(seed)
+    noun = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4)))
+    say = lambda a, z: (" ".join(noun() for _ in range(rng.randint(a, z))).capitalize() + rng.choice([".", ".", "?", "!"]))
+    phrase = lambda: " ".join(noun() for _ in range(rng.randint(1, 5))).capitalize()
+    anchor = lambda: f"<a class='l{rng.randrange(9)}' href='?{noun()}'>{phrase()}</a>"
+    out = []
+    for _ in range(n):
+        want, inner = [], []
+
+        def add(shape, text):
+            want.append(text)  # noqa: B023
+            inner.append(shape.format(text))  # noqa: B023
+
+        add(rng.choice(["<h1 class='headline'>{}</h1>", "<header class='entry-header'><h1>{}</h1></header>", "<div><h1>{}</h1></div>"]), phrase())
+        for _ in range(rng.randint(2, 9)):
+            kind = rng.randrange(12)
+            if kind < 6:
+                add(rng.choice(["<p>{}</p>", "<p class='para'>{}</p>", "<div class='p'>{}</div>", "<p><span>{}</span></p>"]), " ".join(say(5, 20) for _ in range(rng.randint(1, 5))))
+            elif kind == 6:
+                add("<h3 id='s'>{}</h3>", phrase())
+            elif kind == 7:
+                inner.append("<ol>")
+                for _ in range(rng.randint(2, 4)):
+                    add("<li>{}</li>", say(2, 9))
+                inner.append("</ol>")
+            elif kind == 8:
+                add("<blockquote>{}</blockquote>", say(6, 15))
+            elif kind == 9:
+                inner.append(f"<section class='{rng.choice(['chapter', 'tip', 'warning', 'related-work', 'summary'])}'>")
+                add("<p>{}</p>", say(6, 20))
+                add("<p>{}</p>", say(6, 20))
+                inner.append("</section>")
+            elif kind == 10:
+                inner.append(rng.choice([f"<div class='ad-slot'>{say(3, 9)}</div>", f"<div class='share-buttons'>{anchor()} {anchor()}</div>", f"<aside class='widget'><h4>{phrase()}</h4>{anchor()}</aside>", "<script>x('<p>no</p>')</script>"]))
+            else:
+                t = phrase()
+                want.append(t)
+                inner.append(f"<p><a href='#'>{t}</a></p>")
+        article = rng.choice(["<article class='post-{}'>{}</article>", "<main id='m{}'>{}</main>", "<article><div class='body-{}'>{}</div></article>", "<div class='entry-content c{}'>{}</div>"]).format(rng.randrange(99), "".join(inner))
+        top = rng.choice(["<div class='topbar'>{}</div>", "<nav>{}</nav>", "<header class='site-header'><nav>{}</nav></header>", "<div id='main-menu'>{}</div>"]).format(" | ".join(anchor() for _ in range(rng.randint(3, 8))))
+        side = rng.choice(["", f"<aside><h4>{phrase()}</h4><ul>{''.join('<li>' + anchor() for _ in range(5))}</ul></aside>", f"<div id='sidebar-left'><p>{say(5, 20)}</p>{anchor()}</div>"])
+        talk = rng.choice(["", f"<div id='comments'><h3>{phrase()}</h3>" + "".join(f"<div class='comment-body'><b>{noun()}</b><p>{say(4, 25)}</p></div>" for _ in range(3)) + "</div>", f"<section class='discussion'><ul><li><p>{say(4, 25)}</p></ul></section>"])
+        foot = rng.choice(["<footer>{}</footer>", "<div id='footer'>{}</div>"]).format(rng.choice([f"&copy; {noun()}", say(3, 9), " ".join(anchor() for _ in range(4))]))
+        notice = rng.choice(["", f"<div class='cookie-banner'>{say(5, 20)}<button>Ok</button></div>", f"<form class='newsletter'><p>{say(3, 9)}</p><input></form>"])
+        page = top + notice + (side + article if rng.random() < 0.5 else article + side) + talk + foot
+        out.append((PAGE % (f"<div id='wrap'><div class='container'>{page}</div></div>" if rng.random() < 0.5 else page), want))
+    return out
+
+
+def test_pages_of_another_generator():
+    right = wrong = missed = 0
+    for page, want in other_sites(300, 5):
+        got = MODEL.blocks(page)
+        right, wrong, missed = right + len(set(want) & set(got)), wrong + len(set(got) - set(want)), missed + len(set(want) - set(got))
+    assert right / (right + wrong) > 0.97 and right / (right + missed) > 0.97
+
+
+def test_extraction_by_brute_force():
+    """What the model extracts is what summing over all states of the tree gives, block by block."""
+    for body in ("<nav><a href=x>Home</a></nav><article><h1>T</h1><p>Some text here.</p></article>", "<div><p>One two three.</p><ul><li>a</li><li>b</li></ul></div>", "<article class='comment'><p>Text.</p></article><footer>x</footer>"):
+        page = parse(body)
+        n, shares, mass, total = len(page.parent), Model.shares(page), [0.0] * len(page.parent), 0.0
+        for states in itertools.product(range(3), repeat=n):
+            p = MODEL.root[states[0]]
+            for i in range(1, n):
+                text = page.text[i] is not None
+                p *= MODEL.edge(None if text else page.features[i])[states[page.parent[i]]][states[i]] * (MODEL.unary(page, i)[states[i]] ** shares[i] if text else 1)
+            total += p
+            for i in range(n):
+                mass[i] += p * (states[i] == 1)
+        assert MODEL.blocks(body) == [t for t, m in zip(page.text, mass, strict=True) if t is not None and m / total > 0.5]
+
+
+def test_the_query(spark, tmp_path):
+    from panelforge.llm.html_main import op4_html_extraction
+
+    rows = [(1, "u", PAGE % f"<article><h1>Titel &uuml;</h1><p>{LONG}</p></article>"), (2, None, None), (None, "u", ""), (1, "u", PAGE % f"<article><p>{LONG}</p></article>"), (4, "v", PAGE % ("<article><p>" + LONG * 3000 + "</p></article>"))]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = op4_html_extraction(spark, str(tmp_path))
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    want = [(1, "u", "Titel ü\n\n" + LONG.strip()), (2, None, ""), (None, "u", ""), (1, "u", LONG.strip()), (4, "v", (LONG * 3000).strip())]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(((i, u, t, len(t)) for i, u, t in want), key=repr)
