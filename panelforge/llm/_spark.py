@@ -20,9 +20,11 @@ BATCH_ROWS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The cluster's shared folder, ``spark.checkpoint.dir``.  Where it is unset: a temporary one in local mode, an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         at = tempfile.mkdtemp(prefix="panelforge-")
         atexit.register(shutil.rmtree, at, True)
         spark.conf.set("spark.checkpoint.dir", at)
@@ -38,7 +40,20 @@ def cut(df: DataFrame, what: str = "part") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/panelforge/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._part = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that ``cut`` wrote; for when everything that reads them is written."""
+    for f in frames:
+        remove(f.sparkSession, f._part)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def trimmed(batches_function):
@@ -57,12 +72,6 @@ def trimmed(batches_function):
     return run
 
 
-def drop_parts(spark: SparkSession) -> None:
-    """Deletes the tables that ``cut`` wrote; for when all results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/panelforge")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bounds the rows of an Arrow batch, so that batches of long texts fit a Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import cut
+from ._spark import cut, discard
 
 
 def _digest(edges: DataFrame):
@@ -30,9 +30,12 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = cut(small, "links")
+        old, now = now, cut(small, "links")
+        discard(old)
         after = _digest(now)
         if after == before:
             break
         before = after
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    out._part = now._part
+    return out

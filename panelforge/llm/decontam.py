@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import _words as wd
 from ._filter import FILTER_BITS, bloom, may_hold
-from ._spark import cut, fitting, small_batches, table, trimmed
+from ._spark import cut, discard, fitting, small_batches, table, trimmed
 
 WINDOW, K = 10, 5
 #: Bytes of benchmark text that every worker may hold as an index.
@@ -285,6 +285,7 @@ def _joined(found: DataFrame, items: DataFrame, window: int, k: int) -> DataFram
     hits = pairs.mapInArrow(_extend(window), "text_key binary, start int, end int, item string").distinct()
     hits = cut(hits.groupBy("text_key").agg(F.collect_list(F.struct("start", "end", "item")).alias("spans")), "hits")
     bits.destroy()
+    discard(prints)
     size = hits.agg(F.sum(F.size("spans") * 32 + 64)).first()[0] or 0
     return keyed.join(fitting(hits, size, 1), "text_key", "left").select("row", "text", "spans")
 

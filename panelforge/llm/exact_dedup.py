@@ -16,13 +16,12 @@ third of all rows does not gather in one task.
 
 Normal form: A-Z lower-cased, nothing else; null counts as empty.  Of equal
 texts the row with the largest id stays; a null id counts as the smallest; of
-repeated rows (same id, same text) exactly one stays.  An empty table gives an
-empty result.  Other columns of the input, whatever their names, are ignored.
+repeated rows (same id, same text) exactly one stays.  Ids are whole numbers (a text id
+fails).  An empty table gives an empty result.  Other columns of the input, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -32,19 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import golomb
-from ._spark import cut, fitting, small_batches, table, trimmed
+from ._spark import cut, discard, fitting, small_batches, table, trimmed
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Fingerprints for one owner, about.
-OWNER_ROWS = 1_000_000
-
-
-@trimmed
-def _digests(batches):
-    for b in batches:
-        texts = b.column(2).cast(pa.binary()).to_pylist()
-        sha = [hashlib.sha256((t or b"").lower()).hexdigest() for t in texts]  # bytes.lower() maps A-Z only
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sha, pa.string())], names=["id", "fp", "sha"])
+#: Fingerprints for one owner, about, and of one sender: partitions are put together up to it, so that lists stay long.
+OWNER_ROWS, SENDER_ROWS = 2_000_000, 4_000_000
 
 
 def _lists(owners: int):
@@ -93,21 +84,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col), F.lit(""))
     # lower() also joins texts that differ in other letters' case: more suspects, never fewer
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.lower(text)).alias("fp"), text.alias("text"))
-    marked = cut(rows.mapInArrow(_digests, "id long, fp long, sha string").select(F.monotonically_increasing_id().alias("rid"), "*"), "digests")
+    norm = F.translate("text", UPPER, LOWER)
+    marked = cut(rows.select(F.monotonically_increasing_id().alias("rid"), "id", "fp", F.sha2(norm, 256).alias("sha")), "digests")
 
-    owners = max(8, math.ceil(marked.count() / OWNER_ROWS))
-    lists = cut(marked.select("fp").mapInArrow(_lists(owners), "pid int, owner int, list binary, twice binary"), "lists")
+    n_rows = marked.count()
+    owners, senders = max(8, math.ceil(n_rows / OWNER_ROWS)), max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / SENDER_ROWS))
+    lists = cut(marked.select("fp").coalesce(senders).mapInArrow(_lists(owners), "pid int, owner int, list binary, twice binary"), "lists")
     bitmaps = lists.groupBy("owner").applyInPandas(_answers, "pid int, owner int, bitmap binary")
     suspects = cut(lists.join(bitmaps, ["pid", "owner"]).select("list", "bitmap").mapInArrow(_flagged, "fp long").distinct(), "suspects")
     n = suspects.count()
 
-    norm = F.translate("text", UPPER, LOWER)
     same = (
         rows.select("fp", "text").join(fitting(suspects, n, 16), "fp", "left_semi").select("fp", norm.alias("norm"))
         .groupBy("fp", "norm").agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
         .select(F.sha2("norm", 256).alias("sha"), "group_size")
     )
     same = cut(same, "classes")
+    discard(lists, suspects)
     keep = marked.join(fitting(same, n, 100), "sha").groupBy("sha").agg(F.max(F.struct("id", "rid")).alias("keep"), F.first("group_size").alias("group_size"))
     found = marked.join(fitting(keep, n, 120), "sha", "left")
     single = F.col("keep").isNull()

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import cut, fitting, small_batches, table, trimmed
+from ._spark import cut, discard, fitting, small_batches, table, trimmed
 from .components import components
 
 MIN_SEGMENT = 2
@@ -474,13 +474,13 @@ def _cells(members: DataFrame) -> DataFrame:
 
     A component of over LIST_BLOCK sets of a list has blocks of its own, which never meet; the others share blocks.
     """
-    sizes = members.groupBy("lid", "root").agg(F.count(F.lit(1)).alias("sets"))
+    sizes = members.groupBy("lid", "root").agg(F.count(F.lit(1)).alias("sets"), F.collect_set("place").alias("places"))
     large = F.col("sets") > LIST_BLOCK
     small = sizes.where(~large).groupBy("lid").agg(F.ceil(F.sum("sets") / LIST_BLOCK).cast("long").alias("blocks"))
     plan = sizes.join(small, "lid", "left")
-    plan = plan.select("lid", "root", large.alias("large"), F.when(large, F.ceil(F.col("sets") / LIST_BLOCK).cast("long")).otherwise(F.col("blocks")).alias("blocks"))
+    plan = plan.select("lid", "root", F.explode("places").alias("place"), large.alias("large"), F.when(large, F.ceil(F.col("sets") / LIST_BLOCK).cast("long")).otherwise(F.col("blocks")).alias("blocks"))
     own = F.xxhash64("root", F.pmod(F.xxhash64("sid"), F.col("blocks"))).bitwiseOR(F.lit(-(1 << 63)))  # below 0
-    placed = members.join(plan, ["lid", "root"])
+    placed = members.join(plan, ["lid", "root", "place"])
     placed = placed.select("lid", "root", "sid", "n", F.when(F.col("large"), own).otherwise(F.pmod(F.xxhash64("root"), F.col("blocks"))).alias("block"), F.when(F.col("large"), F.col("root")).alias("only"))
     blocks = cut(placed.groupBy("lid", "block").agg(F.min("only").alias("only")), "blocks")
     pairs = blocks.select("lid", F.col("block").alias("i"), F.col("only").alias("x")).join(blocks.select("lid", F.col("block").alias("j"), F.col("only").alias("y")), "lid")
@@ -497,7 +497,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """(rows, pairs): id, n_shingles, set_id, class_id (smallest id with the same set), component_id and n_links (other sets that are similar) of every row; and all pairs u < v of similar set_ids."""
     rows, _, named, sets = _components(docs, id_col, text_col, n, num, den)
-    named = cut(named, "named")
     links = _links(named, sets, n, num, den, False).select(F.col("u").alias("set_id"), F.col("v").alias("n_links"))
     known = named.select(F.col("sid").alias("set_id"), F.col("low").alias("class_id")).join(links, "set_id", "left")
     out = rows.select(F.col(id_col).alias("id"), "n_shingles", "set_id", "component_id").join(known, "set_id", "left")
@@ -525,7 +524,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, d
     packed = rows.select("text").mapInArrow(_index(n, num, den, salt, facts["most"] or 1, min(owners, 65536)), "owner int, keys binary, which binary, sids binary, sizes binary")
     lists = packed.repartition(owners, "owner").mapInArrow(_lists(PART_SETS), _LIST)
     lists = lists.groupBy("h1", "h2", "part").agg(*[F.first(c).alias(c) for c in ("hub", "hub_n", "prev", "prev_n", "sids", "sizes")])
-    lists = cut(lists.select(F.xxhash64("h1", "h2").alias("lid"), "hub", "hub_n", "prev", "prev_n", "sids", "sizes"), "lists")  # lists of one lid by chance only add candidates
+    lists = cut(lists.select(F.xxhash64("h1", "h2").alias("lid"), "part", "hub", "hub_n", "prev", "prev_n", "sids", "sizes"), "lists")  # lists of one lid by chance only add candidates
 
     wanted = lists.select(F.explode("sids").alias("sid")).distinct().join(kinds.select("sid", "of"), "sid")
     wanted = cut(wanted.select("sid", F.col("of.tk").alias("of_tk"), F.col("of.id").alias("of_id")), "wanted")
@@ -545,21 +544,26 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, d
     tried = cut(lists.select("hub", "hub_n", "prev", "prev_n", "sids", "sizes").mapInArrow(_first_pairs(num, den), "a long, b long").distinct(), "pairs")
     links = cut(verified(tried), "verified")
     roots = components(links)
-    members = lists.select("lid", F.explode(F.arrays_zip("sids", "sizes")).alias("m")).select("lid", F.col("m.sids").alias("sid"), F.col("m.sizes").alias("n"))
-    members = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("lid", F.coalesce("root", "sid").alias("root"), "sid", "n")
-    mixed = members.groupBy("lid").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("lid")
-    members = cut(members.join(mixed, "lid", "left_semi"), "members")
+    place = F.floor((F.col("part") * PART_SETS + F.col("pos")) / LIST_BLOCK).cast("int").alias("place")  # a long list is joined place by place
+    members = lists.select("lid", "part", F.posexplode(F.arrays_zip("sids", "sizes")).alias("pos", "m")).select("lid", place, F.col("m.sids").alias("sid"), F.col("m.sizes").alias("n"))
+    members = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("lid", "place", F.coalesce("root", "sid").alias("root"), "sid", "n")
+    mixed = members.groupBy("lid").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("place").alias("last")).where("r0 <> r1")
+    mixed = mixed.select("lid", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("place"))
+    members = cut(members.join(mixed, ["lid", "place"], "left_semi"), "members")
     rest = _cells(members).join(sets.select("sid", "sketch"), "sid").groupBy("lid", "i", "j").agg(F.collect_list(F.struct("block", "root", "sid", "n", "sketch")).alias("members"))
     rest = rest.select((F.col("i") == F.col("j")).alias("own"), "members").mapInArrow(_cross_pairs(num, den), "a long, b long")
     rest = cut(rest.distinct().join(tried, ["a", "b"], "left_anti"), "rest")
     more = cut(verified(rest), "verified")
     links = links.union(more)
     if not more.isEmpty():
+        old = roots
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
+        discard(old)
 
     named = kinds.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "n", "low", F.coalesce("root", "sid").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.join(lowest, "root").select("sid", "n", "low", "root", "component_id")
+    named = cut(named.join(lowest, "root").select("sid", "n", "low", "root", "component_id"), "named")
+    discard(kinds, lists, wanted, tried, members, rest, roots)
     out = marked.select("id", "tk", "n", F.when(F.col("n") > 0, F.col("sid")).alias("sid")).join(named.select("sid", "root", "component_id"), "sid", "left")
     out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), F.when(F.col("n") > 0, F.col("root")).alias("root"), F.col("tk").alias("text_key"))
     return out, links, named, sets

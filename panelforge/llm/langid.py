@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import cut, small_batches, table, trimmed
+from ._spark import cut, discard, small_batches, table, trimmed
 
 BUCKETS = 1 << 15
 #: Cells of the matrix (4 bytes each), at most, and the fewest buckets.
@@ -166,6 +166,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
             texts[at[r["lang"]]] = r["n"]
         else:
             counts[at[r["lang"]], r["bucket"]] = r["n"]
+    discard(sums)
     return Model(langs, counts, texts)
 
 

@@ -19,7 +19,8 @@ source are sorted, so no task gathers a source and no text is shuffled.
 
 Tokens of a text are its UTF-8 bytes / ``BYTES_PER_TOKEN``, rounded up, at least 1;
 null text counts as empty.  A null source is the source "".  Repeated rows are
-rows of their own.  An empty table gives an empty result.
+rows of their own (equal ones are taken together or not at all); ties of hash are decided by the key of id
+and text.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._spark import cut, fitting, table
+from ._spark import cut, discard, fitting, table
 
 TARGET_ENTROPY, MAX_REPEAT = 0.95, 4.0
 BYTES_PER_TOKEN, BLOCK_ROWS, SEED = 4, 10_000, 17
@@ -104,7 +105,7 @@ def mix_sources(docs: DataFrame, keep: list[Column], id_col: str = "doc_id", tex
     weight = F.pow(F.col("tokens") / F.lit(float(total)), F.lit(a)) / F.lit(z)
     quota = F.round(weight * F.lit(float(budget)), 3).cast("decimal(38,3)").cast("long")
     plan = sources.select("source", weight.alias("weight"), F.floor(quota / F.col("tokens")).cast("int").alias("full"), (quota % F.col("tokens")).alias("left"), F.ceil(F.col("rows") / BLOCK_ROWS).cast("long").alias("blocks"))
-    plan = cut(plan, "plan")
+    plan = first = cut(plan, "plan")
 
     def planned(df: DataFrame, plan: DataFrame) -> DataFrame:
         return df.join(fitting(plan, n_sources, 200), "source").withColumn("key", _key(F.col("tkey"), F.col("full"), seed)).withColumn("block", F.col("key") % F.col("blocks"))
@@ -118,6 +119,7 @@ def mix_sources(docs: DataFrame, keep: list[Column], id_col: str = "doc_id", tex
     edge = planned(narrow, plan).where("block = cut_block").withColumn("sum", F.sum("tokens").over(in_order)).where("sum <= rest")
     last = edge.groupBy("source").agg(F.max(F.struct("key", "tkey")).alias("last"))
     plan = cut(plan.join(last, "source", "left"), "plan")
+    discard(narrow, sources, first)
 
     taken_part = (F.col("block") < F.col("cut_block")) | ((F.col("block") == F.col("cut_block")) & (F.struct("key", "tkey") <= F.col("last")))
     times = F.col("full") + F.coalesce(taken_part, F.lit(False)).cast("int")

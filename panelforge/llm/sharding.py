@@ -13,7 +13,8 @@ interchangeable: "q groups of class c go to bin b" is decided on the driver,
 which q of them is decided by a distributed numbering.
 
 Null text is a group of its own of size 0 (+ overhead); an empty table gives an
-empty result; repeated rows are rows of their own with slots of their own;
+empty result; repeated rows are rows of their own with slots of their own; groups of one size class are told apart by
+their key, bins of one remaining capacity by their number;
 other columns of the input are ignored.
 """
 
@@ -24,7 +25,7 @@ import random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import BROADCAST_BYTES, cut, numbered, table
+from ._spark import BROADCAST_BYTES, cut, discard, numbered, table
 
 ROW_OVERHEAD = 8
 CLASS_BITS = 12
@@ -167,6 +168,7 @@ def shard_texts(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col:
     rows = cut(rows, "sizes")
     groups = cut(rows.groupBy("key").agg(F.sum("size").alias("bytes")), "groups")
     placed = cut(rows.join(pack_groups(groups, "key", "bytes", shards=shards), "key"), "placed")
+    discard(rows, groups)
     out = numbered(placed, ["shard"], ["id", "key"], ["id", "key"], placed.count(), "slot")
     return out.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard", "slot")
 

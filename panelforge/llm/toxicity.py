@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _words as wd
-from ._spark import cut, small_batches, table, trimmed
+from ._spark import cut, discard, small_batches, table, trimmed
 
 MAX_TRAIN, MAX_FEATURES, MIN_ROWS = 20_000, 2048, 2
 #: Lengths in bytes of word beginnings that are features beside the words, so that inflected forms share evidence.
@@ -159,6 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
     rows = cut(rows.select("id", "text", "grade"), "labelled")
     sizes = {r["grade"]: r["count"] for r in rows.groupBy("grade").count().collect()}
     if len(sizes) < 2:
+        discard(rows)
         return Model(np.zeros(0, np.uint64), 0)
     rank = {g: k for k, g in enumerate(sorted(sizes))}
     n_low = float(sizes[min(sizes)])
@@ -185,6 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([f[a:z].astype("<u2").tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["id", "grade", "flags"])
 
     got = sorted(rows.mapInArrow(flagged, f"id {rows.schema['id'].dataType.simpleString()}, grade int, flags binary").collect(), key=lambda r: (r["id"], r["grade"], bytes(r["flags"])))
+    discard(rows)
     feats = [np.frombuffer(r["flags"], "<u2").astype(np.int64) for r in got]
     at, feats = np.repeat(np.arange(len(got)), [len(f) for f in feats]), np.concatenate(feats)
     y = np.array([rank[r["grade"]] for r in got])
