@@ -73,6 +73,24 @@ def usable(flag, missing_is_valid: bool) -> Column:
     return F.coalesce(_c(flag), F.lit(0 if missing_is_valid else 1)) == 0
 
 
+def min_history(df: DataFrame, entity: str, need: int = 80, *required: str) -> DataFrame:
+    """Rows whose required columns are there, of entities with at least ``need`` such rows."""
+    from pyspark.sql import Window
+
+    rows = df.dropna(subset=list(required)) if required else df
+    return rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(entity))).where(F.col("_n") >= need).drop("_n")
+
+
+def denylist(df: DataFrame, denied: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not on the list; a missing key stays."""
+    return df.join(denied.select(key).distinct(), key, "left_anti")
+
+
+def stale_entries(df: DataFrame, denied: DataFrame, key: str) -> DataFrame:
+    """Entries of a list that no row of the table has."""
+    return denied.select(key).distinct().join(df.select(key).distinct(), key, "left_anti")
+
+
 def compact_types(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Doubles to floats and whole numbers to the smallest type that holds their range (one aggregate)."""
     whole = [f.name for f in df.schema if f.dataType.typeName() in ("long", "integer", "short") and f.name not in keep]

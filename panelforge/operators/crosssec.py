@@ -46,6 +46,27 @@ def relative(c, *by, least: float = 1e-9) -> Column:
     return F.when(F.abs(m) > least, _c(c) / m)
 
 
+#: Ranks over all rows of a date: source and output names are fixed values.
+RANKS = (
+    ("ret_1", "ret_1_cs_rank"), ("ret_1", "ret_1_prank_1500"), ("ret_2", "ret_2_prank_1500"), ("ret_3", "ret_3_prank_1500"), ("ret_5", "ret_5_prank_1500"),
+    ("ret_10", "ret_10_prank_1500"), ("vol", "vol_prank_1500"), ("oc_ret", "oc_ret_cs_rank"), ("amount", "amount_cs_rank"), ("amount", "amount_prank_1500"),
+    ("turnover_f_log", "turnover_f_cs_rank"), ("turnover_f_log", "turnover_prank_1500"), ("mf_inst_rate", "mf_inst_rate_cs_rank"), ("mf_inst_rate", "mf_inst_rate_prank_1500"),
+    ("vwap_close_ratio", "vwap_close_ratio_prank_1500"), ("mf_price_align_z_20", "mf_price_align_prank_1500"), ("close_to_high", "close_to_high_cs_rank"),
+    ("winner_rate", "winner_rate_cs_rank"), ("circ_mv", "circ_mv_cs_rank"), ("circ_mv", "mv_prank_1500"),
+)
+#: Values over the date's mean, and less the mean of the date or of the group: fixed values.
+RELATIVE = (("vol", "vol_rel_1500"), ("amount", "amount_rel_1500"), ("turnover_f_log", "turnover_rel_1500"))
+EXCESS = (("mf_inst_rate", "mf_inst_rate_rel_1500", False), ("mf_inst_rate", "mf_inst_rate_rel_sw_l2", True), ("turnover_f_log", "turnover_rel_sw_l2", True))
+
+
+def block(df, date: str, group: str):
+    """The whole cross-section block: 20 ranks, 3 relative levels and 3 excesses, of those sources that exist."""
+    out = {name: rank_share_all(x, date) for x, name in RANKS if x in df.columns}
+    out |= {name: relative(x, date) for x, name in RELATIVE if x in df.columns}
+    out |= {name: excess(x, date, *([group] if grouped else [])) for x, name, grouped in EXCESS if x in df.columns}
+    return df.withColumns(out)
+
+
 def top_k(df, k: int, by: list, *order):
     """First k rows of each group in the given order (which should end in a unique key)."""
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_k") <= k).drop("_k")

@@ -45,7 +45,7 @@ def with_overall(trades: DataFrame, layer: str) -> DataFrame:
 
 
 def parse_suffix(suffix: str) -> dict[str, float]:
-    """``h5m80d50``: five days, +8.0 %, -5.0 %."""
+    """``h3m70d40``: three days, +7.0 %, -4.0 %."""
     m = SUFFIX.match(suffix)
     if not m:
         raise ValueError(f"not a target name: {suffix}")
@@ -83,6 +83,12 @@ def failure_overlap(picks: DataFrame, family: str, date: str, entity: str, targe
     return out.select("left", "right", "left_any_days", "right_any_days", "shared_any_days", ratio("left_any_days").alias("over_left"), ratio("right_any_days").alias("over_right"), "shared_all_days", F.coalesce("same_entity", F.lit(0)).alias("same_entity"))
 
 
+def funnel(df: DataFrame, date: str, stages: dict[str, Column], firsts: tuple[str, ...], *order) -> DataFrame:
+    """Per date: rows, how many pass each stage (missing: not), and the first row's value of date-wide columns."""
+    first = [F.min_by(F.struct(F.col(c)), F.struct(*order))[c].alias(c) for c in firsts]
+    return df.groupBy(date).agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in stages.items()], *first)
+
+
 def quality_guard(r: str, share: float = 0.99, most: float = 0.5) -> Column:
     """Fails when the given share of absolute returns lies above ``most`` (percent taken for decimals)."""
     q = F.percentile(F.abs(F.col(r)), share)

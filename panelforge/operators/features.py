@@ -202,11 +202,21 @@ def relative_returns(index: str, own: tuple[str, ...] = ("1", "2", "3", "5", "10
     return out | {f"oc_ret_rel_{index}": c("oc_ret") - c(f"{index}_oc_ret")}
 
 
+def against(w: WindowSpec, *indices: str) -> dict[str, Column]:
+    """Beta to each index or industry joined as ``{index}_ret``, and volatility over its ``{index}_ret_std_20``."""
+    out = {}
+    for p in indices:
+        out |= {f"beta_to_{p}_20d": win.beta("ret_1", f"{p}_ret", w, 20), f"vol_over_{p}_vol": F.log1p("realized_vol_5m") - F.log1p(f"{p}_ret_std_20")}
+    return out
+
+
+def flow_against_market(w: WindowSpec) -> dict[str, Column]:
+    return {"mf_inst_rate_rel_mkt_z20": win.zscore(c("mf_inst_rate") - c("mkt_mf_inst_rate"), w, 20)}
+
+
 def conditional(w: WindowSpec, long: int = 60, size: int = 120) -> dict[str, Column]:
     gt5 = clip("gt_5pct_ratio", 0.0, 1.0)
-    return {
-        "beta_to_ew_20d": win.beta("ret_1", "ew_ret", w, 20),
-        "vol_over_ew_vol": F.log1p("realized_vol_5m") - F.log1p("ew_ret_std_20"),
+    return against(w, "ew") | {
         "ret_1_over_mkt_gt5_rate": safe_div_eps("ret_1", "gt_5pct_ratio"),
         "ret_1_in_weak_mkt": c("ret_1") * (1 - gt5),
         "ret_vol_confirm": c("ret_1") * c("vol_z"),
@@ -214,10 +224,10 @@ def conditional(w: WindowSpec, long: int = 60, size: int = 120) -> dict[str, Col
     }
 
 
-def industry_features(df: DataFrame, grp: str, date: str) -> DataFrame:
+def industry_features(df: DataFrame, grp: str, date: str, indices: tuple[str, ...] = ("ew",)) -> DataFrame:
     """Momenta, deviations, z-scores, beta, alpha, ranks by date and rank rotation of groups.
 
-    ``df``: grp, date, open, high, low, close, vol, amount, float_mv, ret_1 and the index columns ew_ret, ew_mom_k.
+    ``df``: grp, date, open, high, low, close, vol, amount, float_mv, ret_1 and for each of ``indices`` p its p_ret and p_mom_k.
     """
     w = win.over(grp, date)
     out = df.withColumns({
@@ -229,17 +239,16 @@ def industry_features(df: DataFrame, grp: str, date: str) -> DataFrame:
         "ret_std_20": win.std("ret_1", w, 20),
         "amount_z_20": win.zscore(log_nonzero("amount"), w, 20),
         "vol_z_20": win.zscore(log_nonzero("vol"), w, 20),
-        "beta_ew_20": win.beta("ret_1", "ew_ret", w, 20),
+        **{f"beta_{p}_20": win.beta("ret_1", f"{p}_ret", w, 20) for p in indices},
     })
     out = out.withColumns({
         "range_z_20": win.zscore("range_pct", w, 20),
         "turnover_z_20": win.zscore("turnover_proxy", w, 20),
-        "ret_rel_ew": c("ret_1") - c("ew_ret"),
-        "mom5_rel_ew": c("mom_5") - c("ew_mom_5"),
-        "mom20_rel_ew": c("mom_20") - c("ew_mom_20"),
-        "alpha_ew_5": c("mom_5") - c("beta_ew_20") * c("ew_mom_5"),
+        **{f"ret_rel_{p}": c("ret_1") - c(f"{p}_ret") for p in indices},
+        **{f"mom{k}_rel_{p}": c(f"mom_{k}") - c(f"{p}_mom_{k}") for p in indices for k in (5, 20)},
+        **{f"alpha_{p}_5": c("mom_5") - c(f"beta_{p}_20") * c(f"{p}_mom_5") for p in indices},
     })
-    ranked = ("ret_1", "mom_2", "mom_3", "mom_5", "mom_10", "mom_20", "ret_rel_ew", "mom5_rel_ew", "mom20_rel_ew")
+    ranked = ("ret_1", "mom_2", "mom_3", "mom_5", "mom_10", "mom_20", *[f"{x}_rel_{p}" for p in indices for x in ("ret", "mom5", "mom20")])
     out = out.withColumns({f"{x}_rank": rank_share(x, date) for x in (*ranked, "amount_z_20", "turnover_z_20", "ret_std_20")})
     out = out.withColumns({f"{x}_rank_ma5": win.mean(f"{x}_rank", w, 5, 3) for x in ranked})
     return out.withColumns({f"{x}_rank_accel5": c(f"{x}_rank") - c(f"{x}_rank_ma5") for x in ranked})

@@ -18,8 +18,8 @@ def returns(df: DataFrame, keep: list[str], pct: str | None = None) -> DataFrame
     return out.dropna(subset=[f"{x}_ret" for x in ret])
 
 
-def equal_weight(df: DataFrame, date: str, flag: str | None = None, limit: float = 0.095) -> DataFrame:
-    """One row a date: mean return of each price, dispersion, breadth shares and limit counts."""
+def equal_weight(df: DataFrame, date: str, flag: str | None = None, limit: float = 0.095, totals: tuple[str, ...] = ()) -> DataFrame:
+    """One row a date: mean return of each price, dispersion, breadth shares, limit counts and sums of ``totals``."""
     r = F.col("close_ret")
 
     def share(condition):
@@ -40,9 +40,36 @@ def equal_weight(df: DataFrame, date: str, flag: str | None = None, limit: float
         F.count_if(is_true(up)).alias("limit_up_count"),
         F.count_if(is_true(down)).alias("limit_down_count"),
         F.count(F.lit(1)).alias("valid_count"),
+        *[F.sum(x).alias(f"total_{x}") for x in totals],
     )
 
 
+#: Names of a benchmark's daily return, in order of preference: fixed values.
+RETURN_NAMES = ("csi1500_ew", "csi1500_ew_ret", "ret", "return", "daily_return", "pct_chg")
+
+
+def benchmark_returns(df: DataFrame, date: str, column: str | None = None, close: str = "close", order: str | None = None) -> DataFrame:
+    """date, r: the named return column, else the first of RETURN_NAMES, else close / previous close - 1.
+
+    One row a date: of repeated dates the last in ``order`` counts.  Without any of these columns, or
+    without the one asked for, it is an error.
+    """
+    if column is not None and column not in df.columns:
+        raise ValueError(f"no return column {column!r}; there are {df.columns}")
+    chosen = column or next((c for c in RETURN_NAMES if c in df.columns), None)
+    if chosen is None and close not in df.columns:
+        raise ValueError(f"no return column; there are {df.columns}")
+    tie = F.col(order) if order else F.lit(0)
+    if chosen:
+        r = F.col(chosen).try_cast("double")
+    else:
+        p = F.col(close).try_cast("double")
+        before = F.lag(p).over(Window.orderBy(date, tie))  # a benchmark has one row a date
+        r = F.when(before != 0, p / before - 1)
+    out = df.select(F.col(date).alias("date"), r.alias("r"), tie.alias("_o"))
+    return out.groupBy("date").agg(F.max_by(F.struct("r"), "_o").alias("_r")).select("date", F.col("_r.r").alias("r"))
+
+
 def cap_weight(df: DataFrame, date: str, cap: str, key: str, top: int = 10) -> DataFrame:
     """One row a date: cap-weighted mean of each return, largest weight and the sum of the ``top`` largest."""
     day = Window.partitionBy(date)

@@ -188,6 +188,7 @@ def vwap_relations() -> dict[str, Column]:
     side = F.signum(F.col("close") - F.col("cv"))
     return {
         "pct_bars_above_vwap": F.avg((F.col("close") > F.col("cv")).cast("double")),
+        "pct_time_above_vwap": F.avg((F.col("close") > F.col("cv")).cast("double")),
         "vwap_cross_count": F.count_if(F.col("prev_side").isNotNull() & (side != F.col("prev_side"))),
         "mean_vwap_distance": F.avg(away),
         "max_vwap_distance": F.max(away),
@@ -405,7 +406,7 @@ def gap_features(prepared: DataFrame, all_bars: DataFrame, entity: str, day: str
     return g.select(
         entity, day, F.col("p").alias("prev_close"),
         F.when(big, F.least(F.coalesce(ratio, F.lit(1.0)), F.lit(1.0))).when(F.col("p") > TINY, 0.0).alias("gap_fill_ratio"),
-        F.when(big, F.when(up, F.col("ge")).otherwise(F.col("le"))).alias("gap_same_side_ratio"),
+        *[F.when(big, F.when(up, F.col("ge")).otherwise(F.col("le"))).alias(k) for k in ("gap_same_side_ratio", "gap_persistence")],
         F.when(big, norm(fill)).alias("gap_fill_time"), F.when(big, fill.cast("long")).alias("gap_fill_time_raw"),
         F.when(big, F.coalesce(norm(back), F.when(back.isNull(), F.lit(1.0)))).alias("first_reversal_minute"),
     )

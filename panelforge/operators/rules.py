@@ -113,10 +113,13 @@ def mapped(c: Column, mapping: dict[str, int], default: int | None = None, raise
     return F.coalesce(found, F.lit(default)) if default is not None else found
 
 
-def layer_filter(df: DataFrame, layer: str) -> DataFrame:
+def in_layer(layer: str) -> Column:
     """all, layer1 (strict or strong), layer2, strict, strong."""
-    choice = {"all": F.col("layer") != "none", "layer1": F.col("strict") | F.col("strong"), "layer2": F.col("m1") | F.col("m3"), "strict": F.col("strict"), "strong": F.col("strong")}
-    return df.where(choice[layer])
+    return {"all": F.col("layer") != "none", "layer1": F.col("strict") | F.col("strong"), "layer2": F.col("m1") | F.col("m3"), "strict": F.col("strict"), "strong": F.col("strong")}[layer]
+
+
+def layer_filter(df: DataFrame, layer: str) -> DataFrame:
+    return df.where(in_layer(layer))
 
 
 def family_consensus(df: DataFrame, families: dict[str, int], date: str, tie: str, gate: str, most: float, lead: str, tag: str = "PRODUCTION") -> DataFrame:

@@ -1,8 +1,13 @@
 """Tree-ensemble scoring and ensemble statistics.
 
-A tree is a nested tuple ``(feature, threshold, left, right)`` with numbers as leaves;
-a row goes left if its value is <= the threshold or missing is sent left.
-Features are cast to float first, because that decides borderline splits.
+A tree is a nested tuple ``(feature, threshold, left, right)`` with numbers as leaves; a row goes left
+if its value is <= the threshold, and right if it is missing.  A split may add ``(..., missing, default_left)``:
+
+* ``nan``: a missing value goes the default way;
+* ``zero``: a missing value or one of about 0 goes the default way;
+* ``none``: a missing value counts as 0.
+
+Features are cast to float first, because that decides borderline splits; thresholds stay double.
 Small trees compile to a Column (stays in generated code); large ensembles are
 walked by a vectorised pandas UDF.
 """
@@ -14,7 +19,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions.nulls import cv_ratio, finite
@@ -30,14 +35,27 @@ def feature_matrix(df: DataFrame, features: list[str], allow_missing: bool = Fal
     return df.withColumns({f: finite(F.col(f).try_cast("double")).cast("float") if f in df.columns else F.lit(None).cast("float") for f in features})
 
 
-def tree_column(tree: Tree, missing_left: bool = False) -> Column:
+#: Values of at most this size are zero to a split whose missing kind is zero.
+ZERO = 1e-35
+MISSING = ("none", "zero", "nan")
+
+
+def tree_column(tree: Tree) -> Column:
     """One tree as a nested CASE."""
     if not isinstance(tree, tuple):
         return F.lit(float(tree))
-    name, threshold, left, right = tree
-    x = F.col(name).cast("float")
-    go_left = F.coalesce(x <= F.lit(threshold).cast("float"), F.lit(missing_left))
-    return F.when(go_left, tree_column(left, missing_left)).otherwise(tree_column(right, missing_left))
+    name, threshold, left, right, *rule = tree
+    missing, default_left = rule or ("nan", False)
+    x = F.col(name).cast("float").cast("double")
+    x = F.when(~F.isnan(x), x)
+    if missing == "nan":
+        go_left = F.coalesce(x <= F.lit(float(threshold)), F.lit(default_left))
+    else:
+        y = F.coalesce(x, F.lit(0.0))
+        go_left = y <= F.lit(float(threshold))
+        if missing == "zero":
+            go_left = F.when(F.abs(y) <= ZERO, F.lit(default_left)).otherwise(go_left)
+    return F.when(go_left, tree_column(left)).otherwise(tree_column(right))
 
 
 def ensemble_column(trees: list[Tree], sigmoid: bool = True) -> Column:
@@ -51,7 +69,7 @@ class FlatEnsemble:
     def __init__(self, trees: list[Tree], features: list[str], sigmoid: bool = True):
         self.features, self.sigmoid = features, sigmoid
         at = {f: i for i, f in enumerate(features)}
-        feature, threshold, left, right, roots = [], [], [], [], []
+        feature, threshold, left, right, roots, missing, default = [], [], [], [], [], [], []
 
         def add(t: Tree) -> int:
             i = len(feature)
@@ -59,8 +77,12 @@ class FlatEnsemble:
             threshold.append(0.0)
             left.append(i)
             right.append(i)
+            missing.append(2)
+            default.append(False)
             if isinstance(t, tuple):
-                feature[i], threshold[i] = at[t[0]], float(np.float32(t[1]))
+                feature[i], threshold[i] = at[t[0]], float(t[1])
+                if len(t) > 4:
+                    missing[i], default[i] = MISSING.index(t[4]), bool(t[5])
                 left[i], right[i] = add(t[2]), add(t[3])
             else:
                 threshold[i] = float(t)
@@ -70,6 +92,7 @@ class FlatEnsemble:
             roots.append(add(t))
         self.feature, self.threshold = np.array(feature), np.array(threshold)
         self.left, self.right, self.roots = np.array(left), np.array(right), roots
+        self.missing, self.default = np.array(missing), np.array(default)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -80,8 +103,11 @@ class FlatEnsemble:
                 inner = f >= 0
                 if not inner.any():
                     break
-                v = x[np.arange(len(x)), np.maximum(f, 0)]
-                step = np.where(v <= self.threshold[node], self.left[node], self.right[node])
+                v = x[np.arange(len(x)), np.maximum(f, 0)].astype(np.float64)
+                kind, absent = self.missing[node], np.isnan(v)
+                v = np.where(absent & (kind != 2), 0.0, v)
+                by_default = np.where(kind == 2, absent, (kind == 1) & (np.abs(v) <= ZERO))
+                step = np.where(np.where(by_default, self.default[node], v <= self.threshold[node]), self.left[node], self.right[node])
                 node = np.where(inner, step, node)
             total += self.threshold[node]
         return 1 / (1 + np.exp(-total)) if self.sigmoid else total
@@ -98,21 +124,30 @@ def predict(df: DataFrame, model: FlatEnsemble, name: str) -> DataFrame:
 
 
 def parse_text_model(text: str) -> tuple[list[Tree], list[str]]:
-    """Trees and feature names of a boosted-tree model in the common key=value text layout."""
+    """Trees and feature names of a boosted-tree model in the common key=value text layout.
+
+    ``decision_type`` holds the default direction (bit 1) and the kind of missing values (bits 2 and 3) of
+    each split; splits on categories (bit 0, or ``num_cat``) are refused.
+    """
     names = re.search(r"^feature_names=(.*)$", text, re.M)
     features = names[1].split() if names else []
     trees: list[Tree] = []
     for block in re.split(r"^Tree=\d+$", text, flags=re.M)[1:]:
         field = dict(re.findall(r"^(\w+)=(.*)$", block.split("\n\n\n")[0], re.M))
+        if int(field.get("num_cat", 0)):
+            raise ValueError("splits on categories are not supported")
         leaves = [float(v) for v in field["leaf_value"].split()]
         if "split_feature" not in field or not field["split_feature"].strip():
             trees.append(leaves[0])
             continue
         split, cut = [int(v) for v in field["split_feature"].split()], [float(v) for v in field["threshold"].split()]
         low, high = [int(v) for v in field["left_child"].split()], [int(v) for v in field["right_child"].split()]
+        kinds = [int(v) for v in field.get("decision_type", "").split()] or [8] * len(split)
+        if any(k & 1 for k in kinds):
+            raise ValueError("splits on categories are not supported")
 
         def build(i: int) -> Tree:
-            return leaves[~i] if i < 0 else (features[split[i]], cut[i], build(low[i]), build(high[i]))  # noqa: B023
+            return leaves[~i] if i < 0 else (features[split[i]], cut[i], build(low[i]), build(high[i]), MISSING[kinds[i] >> 2 & 3], bool(kinds[i] & 2))  # noqa: B023
 
         trees.append(build(0))
     return trees, features
@@ -128,6 +163,17 @@ def load_bundle(model_text: str, meta_json: str) -> FlatEnsemble:
     return FlatEnsemble(trees[: meta.get("best_iteration") or None], list(wanted))
 
 
+def read_bundle(spark: SparkSession, folder: str, model: str = "model.txt", meta: str = "meta.json") -> FlatEnsemble:
+    """A bundle from a folder that Spark can read."""
+    text = {n: spark.read.text(f"{folder}/{n}", wholetext=True).first()[0] for n in (model, meta)}
+    return load_bundle(text[model], text[meta])
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """name, size and SHA-256 of files."""
+    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+
 def row_mean(cols: list[str]) -> Column:
     """Mean over columns, missing ones left out."""
     n = sum((F.col(c).isNotNull().cast("int") for c in cols), F.lit(0))

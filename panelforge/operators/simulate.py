@@ -78,6 +78,13 @@ def _with_days(prices: DataFrame, horizon: int) -> DataFrame:
     return prices.withColumns({f"t{k}_{c}": F.lead(c, k).over(w) for k in range(horizon + 2) for c in ("open", "high", "close")}).withColumn("_ahead", F.count(F.lit(1)).over(w.rowsBetween(1, Window.unboundedFollowing)))
 
 
+def price_ladder(signals: DataFrame, prices: DataFrame, days: int = 5) -> DataFrame:
+    """Signals with T0_open, T0_close, T0_high ... of the entity's own rows from the signal's date on; null past the last row."""
+    w = Window.partitionBy("entity").orderBy("date")
+    steps = prices.select("entity", "date", *[F.lead(c, k).over(w).alias(f"T{k}_{c}") for k in range(days + 1) for c in ("open", "close", "high")])
+    return signals.join(steps, ["entity", "date"], "left")
+
+
 def simulate_raw_strict(signals: DataFrame, prices: DataFrame, horizon: int, gain: float, cut: float) -> DataFrame:
     """Raw exits on the entity's own rows: strict stop, filled at the close; a first-day stop sells at the next open."""
     p = _with_days(prices.select("entity", "date", "open", "high", "close"), horizon)

@@ -103,7 +103,7 @@ TREES = [
 
 
 def tree_sql(t) -> str:
-    return repr(t) if not isinstance(t, tuple) else f"CASE WHEN ({t[0]})::FLOAT <= {t[1]}::FLOAT THEN {tree_sql(t[2])} ELSE {tree_sql(t[3])} END"
+    return repr(t) if not isinstance(t, tuple) else f"CASE WHEN ({t[0]})::FLOAT::DOUBLE <= {t[1]}::DOUBLE THEN {tree_sql(t[2])} ELSE {tree_sql(t[3])} END"
 
 
 SC = "sc AS (SELECT entity, date, ret, vol, amount, close, " + ", ".join(f"({tree_sql(t)})::DOUBLE AS pred_{i}" for i, t in enumerate(TREES)) + " FROM dp WHERE ret IS NOT NULL)"

@@ -241,7 +241,7 @@ def intraday_session_corr(spark, d):
 
 @query(
     """SELECT entity, day, round(p, 6) AS prev_close, round(CASE WHEN abs(o / p - 1) > 1e-12 THEN least(CASE WHEN o > p THEN greatest(o - lo, 0) ELSE greatest(hi - o, 0) END / abs(o - p), 1) WHEN p > 0 THEN 0 END, 6) AS gap_fill_ratio,
-  round(CASE WHEN abs(o / p - 1) > 1e-12 THEN CASE WHEN o > p THEN ge ELSE le END END, 6) AS gap_same_side_ratio, round(CASE WHEN abs(o / p - 1) > 1e-12 THEN CASE WHEN o > p THEN f_lo ELSE f_hi END / (n - 1) END, 6) AS gap_fill_time,
+  round(CASE WHEN abs(o / p - 1) > 1e-12 THEN CASE WHEN o > p THEN ge ELSE le END END, 6) AS gap_same_side_ratio, round(CASE WHEN abs(o / p - 1) > 1e-12 THEN CASE WHEN o > p THEN ge ELSE le END END, 6) AS gap_persistence, round(CASE WHEN abs(o / p - 1) > 1e-12 THEN CASE WHEN o > p THEN f_lo ELSE f_hi END / (n - 1) END, 6) AS gap_fill_time,
   (CASE WHEN abs(o / p - 1) > 1e-12 THEN CASE WHEN o > p THEN f_lo ELSE f_hi END END)::BIGINT AS gap_fill_time_raw,
   round(CASE WHEN abs(o / p - 1) > 1e-12 THEN coalesce(CASE WHEN o > p THEN c_le ELSE c_ge END / (n - 1), 1.0) END, 6) AS first_reversal_minute FROM
   (SELECT pb.entity, pb.day, any_value(p) AS p, arg_min(open, pos) AS o, min(low) AS lo, max(high) AS hi, count(*) AS n, avg((close >= p)::INT) AS ge, avg((close <= p)::INT) AS le, min(pos) FILTER (low <= p) AS f_lo,

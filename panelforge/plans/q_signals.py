@@ -148,7 +148,8 @@ def dual_layers(spark, d):
 @query(" UNION ALL ".join(f"SELECT '{k}' AS choice, entity, date FROM du WHERE {c}" for k, c in (("all", "layer <> 'none'"), ("layer1", "strict OR strong"), ("layer2", "m1 OR m3"), ("strict", "strict"), ("strong", "strong"))), DP, EW, SC, EN, DU)
 def layer_filters(spark, d):
     base = layered(spark, d)
-    return ev.union_all(*[rules.layer_filter(base, k).select(F.lit(k).alias("choice"), "entity", "date") for k in ("all", "layer1", "layer2", "strict", "strong")])
+    choices = F.explode(F.array_compact(F.array(*[F.when(rules.in_layer(k), k) for k in ("all", "layer1", "layer2", "strict", "strong")])))
+    return base.select(choices.alias("choice"), "entity", "date")
 
 
 FC = """fc0 AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY pred_0 DESC, entity) <= 1 AS sa, row_number() OVER (PARTITION BY date ORDER BY pred_1 DESC, entity) <= 3 AS sb,

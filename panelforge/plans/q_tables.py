@@ -30,9 +30,8 @@ def scan_range(spark, d):
 
 @query("SELECT event_id, user_id, value FROM events WHERE ts::DATE = (SELECT max(ts)::DATE FROM events)")
 def scan_latest(spark, d):
-    e = load(spark, d, "events")
-    start = F.to_timestamp(F.lit(str(e.agg(F.to_date(F.max("ts"))).first()[0])))
-    return e.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 1 DAY"))).select("event_id", "user_id", "value")
+    e = load(spark, d, "events").withColumn("day", F.to_date("ts"))
+    return readers.latest(e, "day").select("event_id", "user_id", "value")
 
 
 @query("SELECT user_id, ts, value FROM events")
@@ -112,16 +111,20 @@ def null_flag_filters(spark, d):
 
 @query("SELECT entity, date, round(ret, 6) AS ret FROM (SELECT *, count(*) OVER (PARTITION BY entity) AS n FROM dp WHERE ret IS NOT NULL) WHERE n >= 80", DP)
 def min_history(spark, d):
-    from pyspark.sql import Window
-
-    p = daily_panel(spark, d).dropna(subset=["ret"]).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("entity")))
-    return p.where("n >= 80").select("entity", "date", r6("ret", "ret"))
+    return keys.min_history(daily_panel(spark, d), "entity", 80, "ret").select("entity", "date", r6("ret", "ret"))
 
 
 @query("SELECT entity, date, round(amount, 4) AS amount FROM dp WHERE entity NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)", DP)
 def denylist(spark, d):
     bad = load(spark, d, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("entity"))
-    return daily_panel(spark, d).join(bad, "entity", "left_anti").select("entity", "date", F.round("amount", 4).alias("amount"))
+    return keys.denylist(daily_panel(spark, d), bad, "entity").select("entity", "date", F.round("amount", 4).alias("amount"))
+
+
+@query("SELECT DISTINCT o_custkey + c_nationkey AS c_custkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_custkey + c_nationkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
+def denylist_stale(spark, d):
+    c, o = load(spark, d, "customer", "orders")
+    listed = o.join(c, c["c_custkey"] == o["o_custkey"]).select((F.col("o_custkey") + F.col("c_nationkey")).alias("c_custkey"))
+    return keys.stale_entries(c.where("c_acctbal > 0"), listed, "c_custkey")
 
 
 @query("SELECT p_partkey, CASE WHEN p_size <= 10 THEN 'small' WHEN p_size <= 30 THEN 'mid' ELSE 'large' END AS band, p_size % 7 = 0 AS lucky, CAST(NULL AS DOUBLE) AS score FROM part")

@@ -36,12 +36,8 @@ def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
 
 
 def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A missing or empty source is an empty keyed frame, never an error."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
-        return empty(spark, schema)
-    return empty(spark, schema) if not df.columns else df
+    """A missing or empty source is an empty keyed frame, never an error; other faults of a source are errors."""
+    return first_source(spark, [path], schema)
 
 
 def latest(df: DataFrame, date: str, at=None) -> DataFrame:
@@ -121,8 +117,9 @@ def first_source(spark: SparkSession, paths: list[str], schema) -> DataFrame:
     for p in paths:
         try:
             return spark.read.parquet(p)
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
     return empty(spark, schema)
 
 

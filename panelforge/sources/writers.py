@@ -5,13 +5,28 @@ Folders are the unit of a write; Spark's commit protocol makes each one atomic.
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
+import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.keys import bucket_id
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which all machines share; in local mode without one, a temporary folder."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        at = tempfile.mkdtemp(prefix="panelforge-")
+        atexit.register(shutil.rmtree, at, True)
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 CODECS = ("zstd", "snappy", "lz4", "none")
 
 
@@ -51,6 +66,8 @@ def row_index(df: DataFrame, date: str, key: str, name: str = "sample_id") -> Da
 
 def write_signals(df: DataFrame, path: str, date: str, counters: dict) -> None:
     """Signals as CSV by date, the last date again under ``latest``, and one JSON context row a date."""
+    df.write.mode("overwrite").parquet(f"{path}/signals")  # one evaluation; the rest reads it
+    df = df.sparkSession.read.schema(df.schema).parquet(f"{path}/signals")
     df.withColumn("_d", F.date_format(date, "yyyyMMdd")).write.mode("overwrite").option("header", True).partitionBy("_d").csv(f"{path}/by_date")
     last = df.agg(F.max(date).alias("_last"))
     df.join(F.broadcast(last)).where(F.col(date) == F.col("_last")).drop("_last").write.mode("overwrite").option("header", True).csv(f"{path}/latest")  # one row

@@ -149,11 +149,23 @@ end of trees
 
 def test_text_model():
     trees, names = scoring.parse_text_model(MODEL)
-    assert names == ["f0", "f1"] and trees == [("f0", 0.5, ("f1", 1.5, 0.1, 0.2), 0.3), 0.05]
+    assert names == ["f0", "f1"] and trees == [("f0", 0.5, ("f1", 1.5, 0.1, 0.2, "nan", False), 0.3, "nan", False), 0.05]
     m = scoring.load_bundle(MODEL, '{"features": ["f1", "f0"], "best_iteration": 1}')
     assert m.predict(np.array([[2.0, 0.0]], np.float32))[0] == pytest.approx(1 / (1 + math.exp(-0.2)))
     with pytest.raises(ValueError, match="differ"):
         scoring.load_bundle(MODEL, '{"features": ["f0"]}')
+    for word in ("num_cat=1", "decision_type=9 2"):
+        with pytest.raises(ValueError, match="categor"):
+            scoring.parse_text_model("feature_names=a b\nTree=0\n" + word + "\nsplit_feature=0 1\nthreshold=1 2\nleft_child=-1 -2\nright_child=1 -3\nleaf_value=1 2 3\n\n\n")
+
+
+@pytest.mark.parametrize(("kind", "left", "want"), [("nan", True, [-1.0, -1.0, -1.0, 1.0]), ("nan", False, [1.0, -1.0, -1.0, 1.0]), ("zero", True, [-1.0, -1.0, -1.0, 1.0]), ("zero", False, [1.0, 1.0, -1.0, 1.0]), ("none", True, [-1.0, -1.0, -1.0, 1.0])])
+def test_missing_values_of_splits(spark, kind, left, want):
+    """Null, 0, a value below and one above the threshold, by both ways of scoring."""
+    tree = ("x", 0.5, -1.0, 1.0, kind, left)
+    df = spark.createDataFrame([(0, None), (1, 0.0), (2, -3.0), (3, 2.0)], "i int, x double")
+    assert [r.v for r in df.select("i", scoring.tree_column(tree).alias("v")).orderBy("i").collect()] == want
+    assert [r.v for r in scoring.predict(df, scoring.FlatEnsemble([tree], ["x"], sigmoid=False), "v").orderBy("i").collect()] == want
 
 
 def test_feature_matrix(spark):
@@ -271,7 +283,7 @@ def test_summary(spark):
     assert only_up.a == math.inf == only_up.b
     assert t.where("r IS NULL").groupBy("g").agg(ev.profit_factor("r", True).alias("b")).first().b is None
     assert {x[0] for x in rows(ev.with_overall(t, "g").select("g"))} == {"ALL", "x"}
-    assert ev.parse_suffix("h5m80d50") == {"horizon": 5, "take_profit_pct": 8.0, "stop_loss_pct": -5.0}
+    assert ev.parse_suffix("h3m70d40") == {"horizon": 3, "take_profit_pct": 7.0, "stop_loss_pct": -4.0}
     with pytest.raises(ValueError, match="target name"):
         ev.parse_suffix("h5")
 
