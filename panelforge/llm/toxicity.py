@@ -221,9 +221,13 @@ def score(docs: DataFrame, model: Model, keep: list[Column], text_col: str = "te
 
 
 def severity_grade() -> Column:
-    """Grade of a row of ``labels``: 0 not toxic; 1 toxic in a text of quality; 2 toxic in one without (or of unknown quality)."""
-    toxic = F.when(F.col("quality") == 1, 1).otherwise(2)
-    return F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, toxic)
+    """Grade of a row of ``labels``: 0 not toxic, 1 toxic.  The model takes any number of grades, see ``three_grades``."""
+    return F.when(F.col("toxic").isin(0, 1), F.col("toxic"))
+
+
+def three_grades() -> Column:
+    """0 not toxic; 1 toxic in a text of quality; 2 toxic in one without (or of unknown quality)."""
+    return F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 1, 1).otherwise(2))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

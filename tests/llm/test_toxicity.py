@@ -71,7 +71,7 @@ def test_labels_of_other_documents_take_none_of_the_bound(spark, docs_of, monkey
 
 
 def test_three_grades_from_labels(spark, docs_of, tmp_path):
-    """op7 on toxic texts with and without quality: types, order of severities, and an independent likelihood."""
+    """Toxic texts with and without quality: order of severities; and the query on the same tables."""
     rng = random.Random(12)
     rows, labels = [], []
     for i in range(900):
@@ -87,7 +87,9 @@ def test_three_grades_from_labels(spark, docs_of, tmp_path):
     spark.createDataFrame(labels, LABELS).write.parquet(f"{d}/labels.parquet")
     got = toxicity.op7_toxicity(spark, d)
     assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [("doc_id", "bigint"), ("severity", "double"), ("p_above", "array<double>"), ("rejected", "boolean")]
-    got = got.collect()
+    assert {r.doc_id: r.rejected for r in got.collect() if r.doc_id is not None and r.doc_id < 900} == {i: i % 5 > 2 for i in range(900)}
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    got = score(docs, train(docs, spark.read.parquet(f"{d}/labels.parquet"), toxicity.three_grades()), [F.col("doc_id")]).select("row.doc_id", "severity", "p_above", "rejected").collect()
     assert len(got) == len(rows) + len(odd)
     out = {r.doc_id: r for r in got}
     mean = [np.mean([out[i].severity for i in range(900) if (0, 0, 0, 1, 2)[i % 5] == g]) for g in range(3)]
