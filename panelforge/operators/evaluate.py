@@ -18,25 +18,41 @@ def profit_factor(r: str, strict: bool = False) -> Column:
     return F.when(down > 1e-9, up / F.nullif(down, F.lit(0.0))).when(up > 0, inf).otherwise(F.lit(None) if strict else inf)
 
 
+def _fall(day: DataFrame, part: list[str], date: str, r: str) -> DataFrame:
+    """Adds ``_fall``, each day's equity against its highest so far; equity starts after the first day."""
+    w = Window.partitionBy(*part).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    eq = day.withColumn("_e", F.product(1 + F.coalesce(r, F.lit(0.0))).over(w))
+    return eq.withColumn("_fall", F.col("_e") / F.max("_e").over(w) - 1)
+
+
 def daily_drawdown(trades: DataFrame, groups: list[str], date: str, r: str) -> DataFrame:
-    """Largest fall of the compounded daily mean return; equity starts after the first day."""
-    day = trades.groupBy(*groups, date).agg(F.avg(r).alias("_r"))
-    w = Window.partitionBy(*groups).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    eq = day.withColumn("_e", F.product(1 + F.coalesce("_r", F.lit(0.0))).over(w)).withColumn("_p", F.max("_e").over(w))
-    return eq.groupBy(*groups).agg(F.min(F.col("_e") / F.col("_p") - 1).alias("max_drawdown"), F.avg("_r").alias("avg_daily_ret"))
+    """Largest fall of the compounded daily mean return."""
+    day = _fall(trades.groupBy(*groups, date).agg(F.avg(r).alias("_r")), groups, date, "_r")
+    return day.groupBy(*groups).agg(F.min("_fall").alias("max_drawdown"), F.avg("_r").alias("avg_daily_ret"))
 
 
-def summary(trades: DataFrame, groups: list[str], date: str, r: str, target: str, reason: str | None = None, take_profit: float = 0.08, strict: bool = False) -> DataFrame:
-    """One row a group: trades, dates, precision, win rate, mean and median return, profit factor, drawdown, exit shares."""
+def summary(trades: DataFrame, groups: list[str], date: str, r: str, target: str, reason: str | None = None, take_profit: float = 0.08, strict: bool = False, also: dict[str, Column] | None = None) -> DataFrame:
+    """One row a group: trades, dates, precision, win rate, mean and median return, profit factor, drawdown, exit shares.
+
+    One aggregate gives the groups and their days, so the trades are evaluated once; ``also``: further aggregates.
+    """
     share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("double"))
-    aggs = [
-        F.count(F.lit(1)).alias("trades"), F.count_distinct(date).alias("dates"), F.avg(target).alias("precision"), share(F.col(r) > 0).alias("win_rate"), share(F.col(r) >= take_profit).alias("tp_rate"),
-        F.avg(r).alias("avg_ret"), F.median(r).alias("median_ret"), profit_factor(r, strict).alias("profit_factor"),
-    ]
+    aggs = {
+        "trades": F.count(F.lit(1)), "precision": F.avg(target), "win_rate": share(F.col(r) > 0), "tp_rate": share(F.col(r) >= take_profit),
+        "avg_ret": F.avg(r), "median_ret": F.median(r), "profit_factor": profit_factor(r, strict), **(also or {}),
+    }
     if reason:
-        aggs += [share(F.col(reason).contains(k)).alias(f"{k}_rate") for k in ("profit", "stop", "expiry")]
-    out = trades.groupBy(*groups).agg(*aggs).withColumn("picks_per_day", F.col("trades") / F.greatest("dates", F.lit(1)))
-    return out.join(daily_drawdown(trades, groups, date, r), groups)
+        aggs |= {f"{k}_rate": share(F.col(reason).contains(k)) for k in ("profit", "stop", "expiry")}
+    keys = [F.col(c) for c in groups]
+    both = trades.groupingSets([keys, [*keys, F.col(date)]], *keys, F.col(date)).agg((F.grouping(date) == 1).alias("_whole"), *[c.alias(k) for k, c in aggs.items()])
+    both = _fall(both, [*groups, "_whole"], date, "avg_ret")
+    whole, day = F.col("_whole"), ~F.col("_whole")
+    out = both.groupBy(*groups).agg(
+        F.first(F.when(whole, F.struct(*aggs)), ignorenulls=True).alias("_x"), F.count_if(day & F.col(date).isNotNull()).alias("dates"),
+        F.min(F.when(day, F.col("_fall"))).alias("max_drawdown"), F.avg(F.when(day, F.col("avg_ret"))).alias("avg_daily_ret"),
+    )
+    per_day = F.col("_x.trades") / F.greatest("dates", F.lit(1))
+    return out.select(*groups, "_x.trades", "dates", *[f"_x.{k}" for k in aggs if k != "trades"], per_day.alias("picks_per_day"), "max_drawdown", "avg_daily_ret")
 
 
 def with_overall(trades: DataFrame, layer: str) -> DataFrame:
@@ -69,18 +85,38 @@ def join_targets(signals: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def failure_overlap(picks: DataFrame, family: str, date: str, entity: str, target: str) -> DataFrame:
-    """For each pair of families: days with any and with only failures, shared ones, and failures in the same entity."""
+    """For each pair of families: days with any and with only failures, shared ones, and failures in the same entity.
+
+    The picks are evaluated once; lists hold the families of a day or of an entity's day, never rows.
+    """
     bad = F.col(target) == 0
-    days = picks.groupBy(family, date).agg(F.bool_or(bad).alias("any_fp"), F.bool_and(bad).alias("all_fp"))
-    l, r = days.select(F.col(family).alias("left"), date, F.col("any_fp").alias("la"), F.col("all_fp").alias("ll")), days.select(F.col(family).alias("right"), date, F.col("any_fp").alias("ra"), F.col("all_fp").alias("rl"))
-    shared = l.join(r, date).where("left < right").groupBy("left", "right").agg(F.count_if(F.col("la") & F.col("ra")).alias("shared_any_days"), F.count_if(F.col("ll") & F.col("rl")).alias("shared_all_days"))
-    own = days.groupBy(family).agg(F.count_if("any_fp").alias("any_days"))
-    fp = picks.where(bad).select(family, date, entity).distinct()
-    fl, fr = fp.select(F.col(family).alias("left"), date, entity), fp.select(F.col(family).alias("right"), date, entity)
-    same = fl.join(fr, [date, entity]).where("left < right").groupBy("left", "right").agg(F.count(F.lit(1)).alias("same_entity"))
-    out = shared.join(own.select(F.col(family).alias("left"), F.col("any_days").alias("left_any_days")), "left").join(own.select(F.col(family).alias("right"), F.col("any_days").alias("right_any_days")), "right").join(same, ["left", "right"], "left")
+    flags = [F.bool_or("any").alias("any"), F.bool_and("all").alias("all")]
+
+    def pairs(fams: Column, of) -> Column:
+        return F.flatten(F.transform(fams, lambda x: F.transform(F.filter(fams, lambda y: x["family"] < y["family"]), lambda y: of(x, y))))
+
+    def row(left, right, any_, all_, same: int) -> Column:
+        return F.struct(left.alias("left"), right.alias("right"), any_.alias("any"), all_.alias("all"), F.lit(same).alias("same"))
+
+    none, text = F.lit(None).cast("boolean"), F.lit(None).cast(picks.schema[family].dataType)
+    own = picks.groupBy(date, entity, F.col(family).alias("family")).agg(F.bool_or(bad).alias("any"), F.bool_and(bad).alias("all"))
+    fams = own.groupBy(date, entity).agg(F.collect_list(F.struct("family", "any", "all")).alias("f"))
+    failed = F.filter("f", lambda x: x["any"])
+    entries = F.concat(F.transform("f", lambda x: row(x["family"], text, x["any"], x["all"], 0)), pairs(failed, lambda x, y: row(x["family"], y["family"], none, none, 1)))
+    day = fams.select(date, F.inline(entries)).groupBy(date, "left", "right").agg(*flags, F.sum("same").alias("same"))
+    day = day.groupBy(date).agg(F.collect_list(F.when(F.col("right").isNull(), F.struct(F.col("left").alias("family"), "any", "all"))).alias("f"), F.collect_list(F.when(F.col("right").isNotNull(), F.struct("left", "right", "same"))).alias("s"))
+    each = F.concat(
+        F.transform("f", lambda x: F.struct(x["family"].alias("left"), text.alias("right"), F.coalesce(x["any"], F.lit(False)).cast("int").alias("a"), F.lit(0).alias("b"), F.lit(0).cast("long").alias("same"), F.lit(0).alias("met"))),
+        pairs(F.col("f"), lambda x, y: F.struct(x["family"].alias("left"), y["family"].alias("right"), F.coalesce(x["any"] & y["any"], F.lit(False)).cast("int").alias("a"), F.coalesce(x["all"] & y["all"], F.lit(False)).cast("int").alias("b"), F.lit(0).cast("long").alias("same"), F.lit(1).alias("met"))),
+        F.transform("s", lambda x: F.struct(x["left"].alias("left"), x["right"].alias("right"), F.lit(0).alias("a"), F.lit(0).alias("b"), x["same"].alias("same"), F.lit(0).alias("met"))),
+    )
+    total = day.select(F.inline(each)).groupBy("left", "right").agg(*[F.sum(c).alias(c) for c in ("a", "b", "same", "met")])
+    days = F.map_from_entries(F.collect_list(F.when(F.col("right").isNull() & F.col("left").isNotNull(), F.struct("left", "a"))))
+    both = F.collect_list(F.when(F.col("met") > 0, F.struct("left", "right", F.col("a").alias("shared_any_days"), F.col("b").alias("shared_all_days"), F.col("same").alias("same_entity"))))
+    out = total.agg(days.alias("_d"), both.alias("_p")).select("_d", F.inline("_p"))  # a row a pair of families
+    out = out.withColumns({f"{side}_any_days": F.element_at("_d", F.col(side)) for side in ("left", "right")})
     ratio = lambda c: F.when(F.col(c) > 0, F.col("shared_any_days") / F.col(c)).otherwise(0.0)
-    return out.select("left", "right", "left_any_days", "right_any_days", "shared_any_days", ratio("left_any_days").alias("over_left"), ratio("right_any_days").alias("over_right"), "shared_all_days", F.coalesce("same_entity", F.lit(0)).alias("same_entity"))
+    return out.select("left", "right", "left_any_days", "right_any_days", "shared_any_days", ratio("left_any_days").alias("over_left"), ratio("right_any_days").alias("over_right"), "shared_all_days", "same_entity")
 
 
 def funnel(df: DataFrame, date: str, stages: dict[str, Column], firsts: tuple[str, ...], *order) -> DataFrame:

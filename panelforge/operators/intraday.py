@@ -362,15 +362,12 @@ def run_features(prepared: DataFrame, keys: list[str]) -> DataFrame:
     """Longest up, down and under-water runs: length, start (share of the day and raw)."""
     from .windows import longest_runs
 
-    size = prepared.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    out = size
-    for name, flag in (("up", F.col("r") > 0), ("down", F.col("r") < 0), ("dd", F.col("close") < F.col("peak"))):
-        runs = longest_runs(prepared, keys, "pos", flag).select(*keys, F.col("run_length").cast("long").alias(f"_{name}_len"), F.col("run_start").cast("long").alias(f"_{name}_start"))
-        out = out.join(runs, keys)
-    share = lambda c: F.when(F.col("_n") > 1, F.col(c) / (F.col("_n") - 1))
+    out = longest_runs(prepared, keys, "pos", {"up": F.col("r") > 0, "down": F.col("r") < 0, "dd": F.col("close") < F.col("peak")})
+    start = lambda k: F.col(f"{k}_start").cast("long")
+    share = lambda k: F.when(F.col("rows") > 1, start(k) / (F.col("rows") - 1))
     return out.select(
-        *keys, F.col("_up_len").alias("max_consecutive_up_bars"), share("_up_start").alias("start_minute_longest_up_run"), F.col("_up_start").alias("start_minute_longest_up_run_raw"),
-        F.col("_down_len").alias("max_consecutive_down_bars"), share("_down_start").alias("start_minute_longest_down_run"), F.col("_down_start").alias("start_minute_longest_down_run_raw"), F.col("_dd_len").alias("drawdown_duration"),
+        *keys, F.col("up_length").alias("max_consecutive_up_bars"), share("up").alias("start_minute_longest_up_run"), start("up").alias("start_minute_longest_up_run_raw"),
+        F.col("down_length").alias("max_consecutive_down_bars"), share("down").alias("start_minute_longest_down_run"), start("down").alias("start_minute_longest_down_run_raw"), F.col("dd_length").alias("drawdown_duration"),
     )
 
 

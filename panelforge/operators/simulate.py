@@ -13,29 +13,31 @@ from pyspark.sql import functions as F
 TOL = 1e-12
 
 
-def simulate_adjusted(signals: DataFrame, prices: DataFrame, benchmark: DataFrame, horizon: int, gain: float, cut: float, key: list[str]) -> DataFrame:
-    """Benchmark-adjusted exits.
+RESULTS = ("buy", "sell", "ret", "ret_ew", "bench", "holding_days", "exit_reason", "target")
 
-    ``signals``: ``key`` (with entity and date); ``benchmark``: date, r, whose dates are the calendar.
-    Adds buy, sell, ret, ret_ew, bench, holding_days, exit_reason, target; open positions are marked
-    at the last evaluated close, without sell, reason and target; unresolved ones keep nulls.
-    """
+
+def _exits(signals: DataFrame, live: Column, prices: DataFrame, benchmark: DataFrame, horizon: int, gain: float, cut: float, key: list[str]) -> DataFrame:
+    """``key``, ``_old`` (the other columns of a signal), ``_live`` and RESULTS, null where not live; signals are evaluated once."""
     cal = benchmark.select("date", "r", (F.row_number().over(Window.orderBy("date")) - 1).alias("pos"))  # one row a date
-    start = signals.join(cal.select("date", F.col("pos").alias("t")), "date", "left").select(*key, "t")
-    days = start.select(*key, "t", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k")).withColumn("pos", F.col("t") + F.col("k"))
-    px = prices.join(cal.select("date", "pos"), "date").select("entity", "pos", "open", "high", "close")
-    days = days.join(px, ["entity", "pos"], "left").join(cal.select("pos", "r"), "pos", "left")
+    rest = [F.col(c) for c in signals.columns if c not in key]
+    start = signals.select(*key, F.struct(F.lit(None).cast("boolean").alias("_"), *rest).alias("_old"), live.alias("_live"))
+    start = start.join(cal.select("date", F.col("pos").alias("t")), "date", "left")
+    steps = F.when(F.col("_live"), F.sequence(F.lit(1), F.lit(horizon))).otherwise(F.array(F.lit(1)))
+    days = start.select(*key, "_old", "_live", F.when(F.col("_live"), F.col("t")).alias("t"), F.explode(steps).alias("k")).withColumn("pos", F.col("t") + F.col("k"))
+    px = prices.join(cal, "date").select("entity", "pos", "open", "high", "close", "r")
+    days = days.join(px, ["entity", "pos"], "left")
     w = Window.partitionBy(*key).orderBy("k")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*key)
-    ok = F.col("open").isNotNull() & F.col("high").isNotNull() & F.col("close").isNotNull() & F.col("r").isNotNull()
-    d = days.withColumn("ok", F.min(ok.cast("int")).over(run) == 1)
-    d = d.withColumns({
-        "bench": F.when(F.max(F.when(F.col("r").isNull() | (F.col("r") <= -1), 1).otherwise(0)).over(run) == 0, F.product(1 + F.col("r")).over(run) - 1),
+    ok = F.col("open").isNotNull() & F.col("high").isNotNull() & F.col("close").isNotNull() & F.col("r").isNotNull() & (F.col("r") > -1)
+    d = days.withColumns({
+        "bench": F.product(1 + F.col("r")).over(run) - 1,
         "buy": F.max(F.when((F.col("k") == 1) & (F.col("open") > 0), F.col("open"))).over(whole),
-    }).where("ok AND buy IS NOT NULL AND bench IS NOT NULL")
+        "valid": F.min(F.coalesce(ok, F.lit(False)).cast("int")).over(run) == 1,
+    })
+    d = d.withColumn("valid", F.col("valid") & F.col("buy").isNotNull())
     adj = lambda c: F.col(c) / F.col("buy") - 1 - F.col("bench")
-    stop1 = (F.col("k") == 1) & (adj("close") <= cut + TOL)
+    stop1 = F.col("valid") & (F.col("k") == 1) & (adj("close") <= cut + TOL)
     d = d.withColumn("stopped", F.max(stop1.cast("int")).over(whole) == 1)
     k, last = F.col("k"), F.lit(horizon)
     at_gain, at_cut = F.col("buy") * (1 + F.col("bench") + gain), F.col("buy") * (1 + F.col("bench") + cut)
@@ -52,25 +54,36 @@ def simulate_adjusted(signals: DataFrame, prices: DataFrame, benchmark: DataFram
         .when(adj("close") <= cut + TOL, exit_("stop_close", at_cut, 0))
         .when(k == last, expire)
     )
-    d = d.withColumn("hit", hit)
+    d = d.withColumn("hit", F.when(F.col("valid"), hit))
     out = d.groupBy(*key).agg(
-        F.first("buy").alias("buy"),
+        F.first("_old").alias("_old"),
+        F.first("_live").alias("_live"),
+        F.max(F.when(F.col("valid"), F.col("buy"))).alias("buy"),
         F.min_by(F.struct("k", "bench", "hit"), F.when(F.col("hit").isNotNull(), k)).alias("x"),
-        F.max_by(F.struct("k", "bench", "close"), "k").alias("open_mark"),
+        F.max_by(F.struct("k", "bench", "close"), F.when(F.col("valid"), k)).alias("open_mark"),
     )
     done = F.col("x.hit").isNotNull()
     price = F.when(done, F.col("x.hit.sell")).otherwise(F.col("open_mark.close"))
     bench = F.when(done, F.col("x.bench")).otherwise(F.col("open_mark.bench"))
-    out = out.select(*key, "buy", F.when(done, price).alias("sell"), (price / F.col("buy") - 1).alias("ret"), (price / F.col("buy") - 1 - bench).alias("ret_ew"), bench.alias("bench"), F.when(done, F.col("x.k")).otherwise(F.col("open_mark.k")).alias("holding_days"), F.col("x.hit.reason").alias("exit_reason"), F.col("x.hit.target").alias("target"))
-    return signals.join(out, key, "left")
+    return out.select(*key, "_old", "_live", "buy", F.when(done, price).alias("sell"), (price / F.col("buy") - 1).alias("ret"), (price / F.col("buy") - 1 - bench).alias("ret_ew"), bench.alias("bench"), F.when(done, F.col("x.k")).otherwise(F.col("open_mark.k")).alias("holding_days"), F.col("x.hit.reason").alias("exit_reason"), F.col("x.hit.target").alias("target"))
+
+
+def simulate_adjusted(signals: DataFrame, prices: DataFrame, benchmark: DataFrame, horizon: int, gain: float, cut: float, key: list[str]) -> DataFrame:
+    """Benchmark-adjusted exits.
+
+    ``signals``: one row for each ``key`` (with entity and date); ``benchmark``: date, r, whose dates are the calendar.
+    Adds buy, sell, ret, ret_ew, bench, holding_days, exit_reason, target; open positions are marked
+    at the last evaluated close, without sell, reason and target; unresolved ones keep nulls.
+    """
+    out = _exits(signals, F.lit(True), prices, benchmark, horizon, gain, cut, key)
+    return out.select(*[c if c in key else f"_old.{c}" for c in signals.columns], *RESULTS)
 
 
 def refill(audit: DataFrame, prices: DataFrame, benchmark: DataFrame, horizon: int, gain: float, cut: float, key: list[str]) -> DataFrame:
     """Rows that have a target are frozen; all others are simulated again."""
-    done = audit.where("target IS NOT NULL")
-    pending = audit.where("target IS NULL").select(*key)
-    fresh = simulate_adjusted(pending, prices, benchmark, horizon, gain, cut, key)
-    return done.unionByName(fresh.select(*[c for c in audit.columns if c in fresh.columns]), allowMissingColumns=True)
+    out = _exits(audit, F.col("target").isNull(), prices, benchmark, horizon, gain, cut, key)
+    fresh = lambda c: F.when(F.col("_live"), F.col(c)).otherwise(F.col(f"_old.{c}")).alias(c)
+    return out.select(*[c if c in key else fresh(c) if c in RESULTS else f"_old.{c}" for c in audit.columns])
 
 
 def _with_days(prices: DataFrame, horizon: int) -> DataFrame:

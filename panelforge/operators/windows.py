@@ -118,14 +118,23 @@ def add_days_since(df, name: str, event: Column, w, cap: int = 60):
     return rows.withColumn(name, F.least(F.coalesce(F.col("_rn") - last, F.lit(cap)), F.lit(cap))).drop("_rn")
 
 
-def longest_runs(df, keys: list[str], pos: str, flag: Column):
-    """Per key: length and first position of the longest run of true flags; the first of equals; 0 and null if none."""
-    marked = df.select(*keys, F.col(pos).alias("_p"), F.coalesce(flag, F.lit(False)).alias("_f"))
+def longest_runs(df, keys: list[str], pos: str, flags: dict[str, Column]):
+    """Per key and named flag: ``name_length`` and ``name_start``, the longest run of true flags and its first position; the first of equals; 0 and null if none.
+
+    All flags share one exchange and sort; ``rows`` is the number of rows.
+    """
     w = Window.partitionBy(*keys).orderBy("_p")
-    island = F.row_number().over(w) - F.sum(F.col("_f").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    runs = marked.withColumn("_i", island).groupBy(*keys, "_i").agg(F.sum(F.col("_f").cast("int")).alias("_n"), F.min(F.when(F.col("_f"), F.col("_p"))).alias("_s"))
-    best = F.max_by(F.struct("_n", "_s"), F.struct("_n", -F.col("_s")))
-    return runs.groupBy(*keys).agg(best.alias("_b")).select(*keys, F.col("_b._n").alias("run_length"), F.when(F.col("_b._n") > 0, F.col("_b._s")).alias("run_start"))
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    d = df.select(*keys, F.col(pos).alias("_p"), *[F.coalesce(f, F.lit(False)).alias(f"_f_{k}") for k, f in flags.items()])
+    d = d.withColumns({"_i": F.row_number().over(w), **{f"_b_{k}": F.lag(f"_f_{k}", 1, False).over(w) for k in flags}})
+    begins = {k: F.when(F.col(f"_f_{k}") & ~F.col(f"_b_{k}"), F.struct("_p", "_i")) for k in flags}
+    d = d.withColumns({f"_s_{k}": F.last(c, ignorenulls=True).over(run) for k, c in begins.items()})
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for k in flags:
+        length = (F.col("_i") - F.col(f"_s_{k}._i") + 1).cast("long")
+        longest = F.max_by(F.struct(length.alias("n"), F.col(f"_s_{k}._p").alias("at")), F.when(F.col(f"_f_{k}"), F.struct(length, -F.col("_i"))))
+        aggs += [F.coalesce(longest["n"], F.lit(0).cast("long")).alias(f"{k}_length"), longest["at"].alias(f"{k}_start")]
+    return d.groupBy(*keys).agg(*aggs)
 
 
 def compounded_between(df, entity_w, r: str):

@@ -186,7 +186,8 @@ def failure_overlap(spark, d):
     from panelforge.operators.windows import over
 
     f = families(spark, d).withColumn("target", (F.lead("ret").over(over("entity", "date")) > 0.01).cast("int"))
-    picks = ev.union_all(*[f.where(f"{k}_selected").select(F.lit(k).alias("family"), "entity", "date", "target") for k in ("fa", "fb", "fc")])
+    chosen = F.array_compact(F.array(*[F.when(F.col(f"{k}_selected"), k) for k in ("fa", "fb", "fc")]))
+    picks = f.select(F.explode(chosen).alias("family"), "entity", "date", "target")
     out = ev.failure_overlap(picks, "family", "date", "entity", "target")
     return out.select(*[r6(c) if c.startswith("over") else F.col(c) for c in out.columns])
 
@@ -311,9 +312,8 @@ def perf_overall_by_layer(spark, d):
 )
 def perf_summary(spark, d):
     t = simulate.simulate_raw_forced(signals(spark, d), prices(spark, d), 3, 0.08, -0.05).where("ret IS NOT NULL")
-    days = t.groupBy("exit_reason").agg(r6(F.avg("holding_days"), "avg_days"))
-    out = ev.summary(t, ["exit_reason"], "date", "ret", "target")
-    return out.select("exit_reason", "trades", "dates", *[r6(c) for c in ("precision", "win_rate", "avg_ret", "median_ret")]).join(days, "exit_reason")
+    out = ev.summary(t, ["exit_reason"], "date", "ret", "target", also={"avg_days": F.avg("holding_days")})
+    return out.select("exit_reason", "trades", "dates", *[r6(c) for c in ("precision", "win_rate", "avg_ret", "median_ret", "avg_days")])
 
 
 @query("SELECT layer, round(max_drawdown, 6) AS max_drawdown FROM dd", DP, EW, SC, EN, SG, SIM, TL, _DD)

@@ -280,8 +280,8 @@ def compounded_benchmark(spark, d):
     BARS,
 )
 def longest_run(spark, d):
-    out = win.longest_runs(intraday_bars(spark, d), ["entity", "day"], "pos", F.col("close") > F.col("open"))
-    return out.select("entity", "day", F.col("run_length").cast("long").alias("run_length"), F.col("run_start").cast("long").alias("run_start"))
+    out = win.longest_runs(intraday_bars(spark, d), ["entity", "day"], "pos", {"run": F.col("close") > F.col("open")})
+    return out.select("entity", "day", "run_length", F.col("run_start").cast("long").alias("run_start"))
 
 
 @query("SELECT entity, date, round(vol, 6) AS vol, round(close, 9) AS close FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY vol DESC, close DESC, entity) AS k FROM dp) WHERE k <= 3", DP)

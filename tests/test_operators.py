@@ -61,7 +61,7 @@ def test_days_since(spark):
 
 def test_longest_run_first_of_equals(spark):
     df = spark.createDataFrame([("a", i, b) for i, b in enumerate([False, True, True, False, True, True])] + [("b", 0, False)], "k string, pos int, f boolean")
-    assert rows(win.longest_runs(df, ["k"], "pos", F.col("f"))) == [("a", 2, 1), ("b", 0, None)]
+    assert rows(win.longest_runs(df, ["k"], "pos", {"f": F.col("f")}).drop("rows")) == [("a", 2, 1), ("b", 0, None)]
 
 
 def test_two_rank_denominators(spark):

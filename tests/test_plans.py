@@ -79,3 +79,10 @@ def test_whole_order_and_universe_have_no_row_cap(spark):
     assert universe.count() == spark.read.parquet(f"{SF}/part.parquet").select(F.trim("p_brand")).distinct().count()
     rows = [(r.o_orderpriority, r.o_orderkey) for r in order.collect()]
     assert [x for x, _ in rows] == sorted(x for x, _ in rows)
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
+@pytest.mark.parametrize(("name", "scans", "shuffles"), [("intraday_runs", 1, 2), ("layer_filters", 2, 6), ("failure_overlap", 1, 8), ("sim_refill", 7, 17), ("perf_overall_by_layer", 4, 13)])
+def test_shared_frames_are_planned_once(spark, name, scans, shuffles):
+    df = QUERIES[name](spark, SF)
+    assert len(re.findall(r"FileScan parquet", plan(df))) <= scans and exchanges(df) <= shuffles, (plan(df).count("FileScan parquet"), exchanges(df))
