@@ -6,16 +6,16 @@ highest possible one), found by bisection; if some source would then be repeated
 more than ``max_repeat`` times, the smallest exponent that keeps the limit is
 bisected instead (1 if none does).
 
-A source's weight times the budget is its quota of tokens.  Every epoch of a
-source is a permutation of hashed blocks of its rows; whole epochs are taken while the
-quota holds them, then the blocks of the next epoch in order, then the rows of
-the block at the border, in hash order, as far as they fit (equal rows together).
+A source's weight times the budget is its quota of tokens.  A source's rows are dealt once to
+hashed blocks, and every epoch is a permutation of these blocks, by the hash of epoch and block
+(``place``); whole epochs are taken while the quota holds them, then the blocks of the next epoch
+in its order, then the rows of the block at the border, in hash order, as far as they fit (equal rows together).
 
 Scale: bisection evaluates 15 exponents (4 halvings) in one aggregate over the table of
 sources, which is never collected.  Which rows a quota takes is decided row by
-row from its source's plan (blocks before a border block, and hashes up to a
+row from its source's plan (places before a border block's, and hashes up to a
 border hash inside it); to find the border, only keys and sizes of one block of each
-source are sorted, so no task gathers a source and no text is shuffled.
+source are sorted, equal rows added up before, so no task gathers a source and no text is shuffled.
 
 Tokens of a text are its UTF-8 bytes / ``BYTES_PER_TOKEN``, rounded up, at least 1;
 null text counts as empty.  A null source is the source "".  Repeated rows are
@@ -75,15 +75,21 @@ def exponent(sources: DataFrame, total: int, n_sources: int, budget: int, target
     return a
 
 
-def _key(tkey: Column, epoch: Column, seed: int) -> Column:
-    """32 bits that order a row in an epoch."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), epoch.cast("string"), F.lit("|"), tkey)), 1, 8), 16, 10).cast("long")
+def _bits(digest: Column) -> Column:
+    """The first 32 bits of a digest in hexadecimal."""
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
+def _key(what: Column, epoch: Column, seed: int) -> Column:
+    """32 bits that order a row or a block in an epoch."""
+    return _bits(F.md5(F.concat(F.lit(f"{seed}|"), epoch.cast("string"), F.lit("|"), what.cast("string"))))
 
 
 def mix_sources(docs: DataFrame, keep: list[Column], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", target_entropy: float = TARGET_ENTROPY, max_repeat: float = MAX_REPEAT, budget: int | None = None, seed: int = SEED) -> DataFrame:
     """The mixture, one row for each time that a row of ``docs`` is taken.
 
-    ``row`` (struct of the ``keep`` columns), source, tokens, weight (of the source), epoch, block.
+    ``row`` (struct of the ``keep`` columns), source, tokens, weight (of the source), epoch, block, place
+    (blocks of an epoch follow each other by place and block).
     ``budget``: tokens to take in all; by default as many as there are.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -108,28 +114,31 @@ def mix_sources(docs: DataFrame, keep: list[Column], id_col: str = "doc_id", tex
     plan = first = cut(plan, "plan")
 
     def planned(df: DataFrame, plan: DataFrame) -> DataFrame:
-        return df.join(fitting(plan, n_sources, 200), "source").withColumn("key", _key(F.col("tkey"), F.col("full"), seed)).withColumn("block", F.col("key") % F.col("blocks"))
+        dealt = df.join(fitting(plan, n_sources, 200), "source").withColumn("block", _bits(F.col("tkey")) % F.col("blocks"))
+        return dealt.withColumn("place", _key(F.col("block"), F.col("full"), seed))
 
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = planned(narrow, plan).groupBy("source", "block").agg(F.sum("tokens").alias("n"), F.first("left").alias("left"))
-    sums = sums.select("source", "block", "n", "left", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    border = sums.where("start <= left AND start + n > left").select("source", F.col("block").alias("cut_block"), (F.col("left") - F.col("start")).alias("rest"))
+    before = Window.partitionBy("source").orderBy("place", "block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = planned(narrow, plan).groupBy("source", "place", "block").agg(F.sum("tokens").alias("n"), F.first("left").alias("left"))
+    sums = sums.select("source", "place", "block", "n", "left", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    border = sums.where("start <= left AND start + n > left").select("source", F.struct("place", "block").alias("border"), (F.col("left") - F.col("start")).alias("rest"))
     plan = plan.join(border, "source", "left")
-    in_order = Window.partitionBy("source").orderBy("key", "tkey")  # narrow rows of one block of a source; equal rows count together
-    edge = planned(narrow, plan).where("block = cut_block").withColumn("sum", F.sum("tokens").over(in_order)).where("sum <= rest")
+    at, key = F.struct("place", "block"), _key(F.col("tkey"), F.col("full"), seed)
+    edge = planned(narrow, plan).where(at == F.col("border")).groupBy("source", key.alias("key"), "tkey").agg(F.sum("tokens").alias("tokens"), F.first("rest").alias("rest"))
+    in_order = Window.partitionBy("source").orderBy("key", "tkey").rowsBetween(Window.unboundedPreceding, 0)  # distinct rows of one block of a source
+    edge = edge.withColumn("sum", F.sum("tokens").over(in_order)).where("sum <= rest")
     last = edge.groupBy("source").agg(F.max(F.struct("key", "tkey")).alias("last"))
     plan = cut(plan.join(last, "source", "left"), "plan")
     discard(narrow, sources, first)
 
-    taken_part = (F.col("block") < F.col("cut_block")) | ((F.col("block") == F.col("cut_block")) & (F.struct("key", "tkey") <= F.col("last")))
-    times = F.col("full") + F.coalesce(taken_part, F.lit(False)).cast("int")
-    taken = planned(rows, plan).where(times > 0).select("row", "source", "tokens", "weight", "tkey", "blocks", F.explode(F.sequence(F.lit(0), times - 1)).alias("epoch"))
-    return taken.select("row", "source", "tokens", "weight", "epoch", (_key(F.col("tkey"), F.col("epoch"), seed) % F.col("blocks")).alias("block"))
+    in_border = F.struct(key.alias("key"), F.col("tkey").alias("tkey")) <= F.col("last")
+    times = F.col("full") + F.when(at < F.col("border"), 1).when(at == F.col("border"), F.coalesce(in_border, F.lit(False)).cast("int")).otherwise(0)
+    taken = planned(rows, plan).where(times > 0).select("row", "source", "tokens", "weight", "block", F.explode(F.sequence(F.lit(0), times - 1)).alias("epoch"))
+    return taken.select("row", "source", "tokens", "weight", "epoch", "block", _key(F.col("block"), F.col("epoch"), seed).alias("place"))
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix_sources(table(spark, sf_dir, "documents"), [F.col("doc_id")])
-    return out.select("row.doc_id", "source", "tokens", F.round("weight", 6).alias("weight"), "epoch", "block")
+    return out.select("row.doc_id", "source", "tokens", F.round("weight", 6).alias("weight"), "epoch", "block", "place")
 
 
 def _bisect_sql(name: str, low: str, test: str, keep_low: bool) -> str:
@@ -153,11 +162,11 @@ a2 AS (SELECT CASE WHEN (SELECT max(pow(p, a - 1)) / sum(pow(p, a)) FROM src) <=
 w AS (SELECT source, n, c, pow(p, a) / sum(pow(p, a)) OVER () AS weight FROM src, a2),
 plan AS (SELECT source, weight, q // n AS ep, q % n AS rest, ceil(c / {BLOCK_ROWS})::BIGINT AS blocks
          FROM (SELECT *, floor(round(weight * (SELECT t FROM tot), 3))::BIGINT AS q FROM w)),
-k AS (SELECT d.*, weight, ep, rest, blocks, ('0x' || substr(md5('{SEED}|' || ep || '|' || tkey), 1, 8))::BIGINT AS key FROM d JOIN plan USING (source)),
-s AS (SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY key % blocks, key, tkey) AS upto FROM k),
+b AS (SELECT d.*, weight, ep, rest, ('0x' || substr(tkey, 1, 8))::BIGINT % blocks AS block FROM d JOIN plan USING (source)),
+s AS (SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY ('0x' || substr(md5('{SEED}|' || ep || '|' || block), 1, 8))::BIGINT, block, ('0x' || substr(md5('{SEED}|' || ep || '|' || tkey), 1, 8))::BIGINT, tkey) AS upto FROM b),
 o AS (SELECT *, unnest(generate_series(0, ep - 1 + (upto <= rest)::INT)) AS epoch FROM s)
-SELECT doc_id, source, tokens, round(weight, 6) AS weight, epoch::INT AS epoch,
-       ('0x' || substr(md5('{SEED}|' || epoch || '|' || tkey), 1, 8))::BIGINT % blocks AS block FROM o
+SELECT doc_id, source, tokens, round(weight, 6) AS weight, epoch::INT AS epoch, block,
+       ('0x' || substr(md5('{SEED}|' || epoch || '|' || block), 1, 8))::BIGINT AS place FROM o
 """
 
 QUERIES = {"op2_source_mixing": op2_source_mixing}

@@ -140,20 +140,33 @@ def size_class(size):
     return (F.ceil(size / unit) * unit).cast("long")
 
 
+def stretches(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(class, lo, hi, first bin, each): ranks from lo up to hi of a class fill bins from the first on, ``each`` in every one.
+
+    Bins that are alike lie next to each other, so a class has few stretches however many bins it fills.
+    """
+    out: list[list[int]] = []
+    at: dict[int, int] = {}
+    for s, b, q in runs:
+        lo = at.get(s, 0)
+        at[s] = lo + q
+        if out and out[-1][0] == s and out[-1][4] == q and b == out[-1][3] + (out[-1][2] - out[-1][1]) // q:
+            out[-1][2] += q
+        else:
+            out.append([s, lo, lo + q, b, q])
+    return [tuple(x) for x in out]
+
+
 def pack_groups(groups: DataFrame, key: str, size: str, *, shards: int | None = None, capacity: int | None = None) -> DataFrame:
     """key, shard for a cut table of distinct ``key`` with ``size``; give ``shards`` or ``capacity``."""
     spark = groups.sparkSession
     groups = groups.select(F.col(key).alias("key"), size_class(F.col(size)).alias("cls"))
     classes = [(r["cls"], r["count"]) for r in groups.groupBy("cls").count().collect()]  # bounded: see size_class
     runs = pack(classes, shards) if shards else best_fit(sorted(classes, reverse=True), capacity)
-    at, rows = {}, []
-    for s, b, q in runs:
-        rows.append((s, at.get(s, 0), at.get(s, 0) + q, b))
-        at[s] = rows[-1][2]
-    plan = spark.createDataFrame(rows, "cls long, lo long, hi long, shard int")
+    plan = spark.createDataFrame(rows := stretches(runs), "cls long, lo long, hi long, first int, each long")
     plan = F.broadcast(plan) if len(rows) * 32 <= BROADCAST_BYTES else plan
     ranked = numbered(groups, ["cls"], ["key"], ["key"], sum(n for _, n in classes), "rank")
-    return ranked.join(plan, "cls").where("rank >= lo AND rank < hi").select(F.col("key").alias(key), "shard")
+    return ranked.join(plan, "cls").where("rank >= lo AND rank < hi").select(F.col("key").alias(key), F.expr("cast(first + (rank - lo) div each AS int)").alias("shard"))
 
 
 def shard_texts(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -80,11 +80,30 @@ def test_against_sql_with_small_blocks(spark, docs_of, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_ROWS", 40)
     rows = skewed() + [(None, None, None, None), (5000, "", "en", None), (5001, "z" * 9000, "en", "big")]
     df = docs_of(rows)
-    got = mix_sources(df, [F.col("doc_id")]).select("row.doc_id", "source", "tokens", F.round("weight", 6), "epoch", "block").collect()
+    got = mix_sources(df, [F.col("doc_id")]).select("row.doc_id", "source", "tokens", F.round("weight", 6), "epoch", "block", "place").collect()
     con = duckdb.connect()
     con.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
     sql = mixing.OP2_SQL.replace(" / 10000)", " / 40)")
-    assert sorted(map(tuple, got), key=repr) == sorted((tuple(r) for r in con.sql("SELECT doc_id, source, tokens, weight, epoch, block FROM (" + sql + ")").fetchall()), key=repr)
+    assert sorted(map(tuple, got), key=repr) == sorted((tuple(r) for r in con.sql("SELECT doc_id, source, tokens, weight, epoch, block, place FROM (" + sql + ")").fetchall()), key=repr)
+
+
+def test_epochs_permute_the_blocks(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 20)
+    rows = skewed() + [(7000, "many times over", "en", "hot")] * 300 + [(8000 + i, f"other {i}", "en", "hot") for i in range(40)]
+    got = mix_sources(docs_of(rows), [F.col("doc_id")], target_entropy=1.0).collect()
+    home, orders = {}, {}
+    for r in got:
+        assert home.setdefault((r.source, r.row.doc_id), r.block) == r.block  # rows never change their block
+        orders.setdefault((r.source, r.epoch), set()).add((r.place, r.block))
+    for s in {r.source for r in got if r.epoch > 1}:
+        first, second = ([b for _, b in sorted(orders[s, e])] for e in (0, 1))
+        assert sorted(first) == sorted(second) and (first != second or len(first) < 4)
+    for s in {s for s, _ in orders}:  # of the last epoch: whole blocks in its order, then part of one
+        e = max(e for x, e in orders if x == s)
+        here = Counter(r.block for r in got if r.source == s and r.epoch == e)
+        size = Counter(r.block for r in got if r.source == s and r.epoch == 0)
+        taken = [b for _, b in sorted(orders[s, e])]
+        assert e == 0 or all(here[b] == size[b] for b in taken[:-1])
 
 
 def test_budget_and_edges(spark, docs_of):

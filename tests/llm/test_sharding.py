@@ -4,7 +4,7 @@ import bisect
 import random
 import zlib
 
-from panelforge.llm.sharding import CapacityTree, best_fit, pack, shard_texts
+from panelforge.llm.sharding import CapacityTree, best_fit, pack, pack_groups, shard_texts, stretches
 
 
 def test_tree_finds_the_tightest():
@@ -66,3 +66,16 @@ def test_shards(spark, docs_of):
         assert set(load) == set(range(8)) and max(load.values()) - min(load.values()) < 0.02 * sum(load.values()) / 8 + 60
         assert all(sorted(v) == list(range(len(v))) for v in slots.values())
     assert shard_texts(docs_of([]), 4).collect() == []
+
+
+def test_fixed_capacity(spark, tmp_path):
+    runs = best_fit([(300, 5000), (70, 20_000), (9, 40_000)], 1000)
+    assert [(s, f + k, e) for s, lo, hi, f, e in stretches(runs) for k in range((hi - lo) // e)] == runs
+    assert len(stretches(runs)) < 40 < len(runs)
+    spark.createDataFrame([(i, 300 if i % 5 == 0 else 70 if i % 5 == 1 else 9) for i in range(4000)], "name long, bytes long").write.parquet(str(tmp_path / "g"))
+    got = pack_groups(spark.read.parquet(str(tmp_path / "g")), "name", "bytes", capacity=1000).collect()
+    load: dict = {}
+    for r in got:
+        load[r.shard] = load.get(r.shard, 0) + (300 if r.name % 5 == 0 else 70 if r.name % 5 == 1 else 9)
+    assert sorted(r.name for r in got) == list(range(4000)) and max(load.values()) <= 1000
+    assert len(load) == -(-(800 * 370 + 2400 * 9) // 1000) or len(load) <= 1.02 * (800 * 370 + 2400 * 9) / 1000 + 1
