@@ -47,6 +47,12 @@ def safe_div_guard(a, b, least: float = 1e-12) -> Column:
     return F.when(F.abs(_c(b)) > least, _c(a) / _c(b))
 
 
+def ieee_div(a, b) -> Column:
+    """a / b of doubles as IEEE has it: a zero divisor gives an infinity or NaN, NULL stays NULL."""
+    a, b = _c(a).cast("double"), _c(b).cast("double")
+    return F.when(b == 0, a * F.lit(math.inf)).otherwise(a / b)
+
+
 def cv_ratio(std, mean) -> Column:
     """std / max(\\|mean\\|, 1e-9)."""
     return _c(std) / F.greatest(F.abs(_c(mean)), F.lit(EPS))
