@@ -14,7 +14,15 @@ from panelforge.functions.nulls import ieee_div
 from panelforge.operators import intraday
 from panelforge.plans.catalog import ORACLE, QUERIES
 
-NAMES = ["intraday_bipower", "intraday_contrasts", "intraday_extremes", "intraday_moments", "intraday_rolling_extremes", "intraday_session_corr"]
+NAMES = [
+    "intraday_bipower",
+    "intraday_contrasts",
+    "intraday_extremes",
+    "intraday_moments",
+    "intraday_rolling_extremes",
+    "intraday_session_corr",
+    "intraday_signed",
+]
 
 
 @pytest.fixture(scope="module")
