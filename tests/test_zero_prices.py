@@ -22,6 +22,7 @@ NAMES = [
     "intraday_rolling_extremes",
     "intraday_session_corr",
     "intraday_signed",
+    "intraday_vol",
 ]
 
 
