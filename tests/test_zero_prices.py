@@ -23,6 +23,7 @@ NAMES = [
     "intraday_session_corr",
     "intraday_signed",
     "intraday_vol",
+    "intraday_windows",
 ]
 
 
