@@ -24,6 +24,7 @@ NAMES = [
     "intraday_signed",
     "intraday_vol",
     "intraday_windows",
+    "intraday_autocorr",
 ]
 
 
