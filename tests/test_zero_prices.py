@@ -25,6 +25,7 @@ NAMES = [
     "intraday_vol",
     "intraday_windows",
     "intraday_autocorr",
+    "intraday_concentration",
 ]
 
 
