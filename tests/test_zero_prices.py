@@ -26,6 +26,7 @@ NAMES = [
     "intraday_windows",
     "intraday_autocorr",
     "intraday_concentration",
+    "intraday_entropy",
 ]
 
 
