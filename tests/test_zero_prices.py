@@ -27,6 +27,7 @@ NAMES = [
     "intraday_autocorr",
     "intraday_concentration",
     "intraday_entropy",
+    "intraday_gap",
 ]
 
 
