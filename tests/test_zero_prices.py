@@ -28,6 +28,7 @@ NAMES = [
     "intraday_concentration",
     "intraday_entropy",
     "intraday_gap",
+    "intraday_late",
 ]
 
 
