@@ -14,22 +14,7 @@ from panelforge.functions.nulls import ieee_div
 from panelforge.operators import intraday
 from panelforge.plans.catalog import ORACLE, QUERIES
 
-NAMES = [
-    "intraday_bipower",
-    "intraday_contrasts",
-    "intraday_extremes",
-    "intraday_moments",
-    "intraday_rolling_extremes",
-    "intraday_session_corr",
-    "intraday_signed",
-    "intraday_vol",
-    "intraday_windows",
-    "intraday_autocorr",
-    "intraday_concentration",
-    "intraday_entropy",
-    "intraday_gap",
-    "intraday_late",
-]
+NAMES = sorted(n for n in QUERIES if n.startswith("intraday_"))
 
 
 @pytest.fixture(scope="module")
