@@ -48,9 +48,9 @@ def safe_div_guard(a, b, least: float = 1e-12) -> Column:
 
 
 def ieee_div(a, b) -> Column:
-    """a / b of doubles as IEEE has it: a zero divisor gives an infinity or NaN, NULL stays NULL."""
+    """a / b of doubles as IEEE has it: a zero divisor gives NaN or an infinity, whose sign heeds that of the zero; NULL stays NULL."""
     a, b = _c(a).cast("double"), _c(b).cast("double")
-    return F.when(b == 0, a * F.lit(math.inf)).otherwise(a / b)
+    return F.when(b == 0, a * F.pow(b, F.lit(-1.0))).otherwise(a / b)
 
 
 def cv_ratio(std, mean) -> Column:
