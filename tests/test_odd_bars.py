@@ -13,7 +13,7 @@ from panelforge.functions.nulls import ieee_div
 from panelforge.plans.catalog import ORACLE, QUERIES
 from panelforge.plans.q_intraday import _round
 
-NAMES = ["intraday_contrasts"]
+NAMES = ["intraday_contrasts", "intraday_extremes"]
 
 
 @pytest.fixture(scope="module")
