@@ -41,10 +41,10 @@ EW = "ew AS (SELECT date, avg(ret) AS r FROM dp GROUP BY date)"
 def intraday_bars(spark: SparkSession, d: str) -> DataFrame:
     """Event type x day: entity, day, pos, n, ts, hm, open, high, low, close, vol, amount; a bar an event.
 
-    ``pos`` is the order of the bars, and the only one to sort by: missing ids come last, rows of equal time and id as they are read.
+    ``pos`` is the order of the bars, and the only one to sort by: missing ids come last, rows of equal time and id go by file and place in it, however the files are split.
     """
-    e = load(spark, d, "events").select("event_id", "ts", "event_type", "value", "props", F.monotonically_increasing_id().alias("_read"))
-    w = Window.partitionBy("event_type", F.to_date("ts")).orderBy("ts", F.asc_nulls_last("event_id"), "_read")
+    e = load(spark, d, "events").select("event_id", "ts", "event_type", "value", "props", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    w = Window.partitionBy("event_type", F.to_date("ts")).orderBy("ts", F.asc_nulls_last("event_id"), "_file", "_row")
     day = Window.partitionBy("entity", "day")
     b = e.select(
         F.col("event_type").alias("entity"), F.to_date("ts").alias("day"), "ts", "event_id", F.date_format("ts", "HH:mm").alias("hm"), F.col("value").alias("close"),
